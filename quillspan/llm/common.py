@@ -12,18 +12,17 @@ from pyspark.sql import functions as F
 #: ASCII white space of the word rule ``[^\x20\x09-\x0D]+``.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Rows in one Arrow batch: with texts of up to 1 MB a batch stays below what a Python worker may hold.
-ARROW_ROWS = 256
+#: Bytes in one Arrow batch: what a Python worker holds of whole texts at a time.
+ARROW_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Bound Arrow batches by rows and bytes, for operators whose rows carry whole texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+def small_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes, so that very long texts don't pile up in one."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def scratch(spark: SparkSession) -> str:

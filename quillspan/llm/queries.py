@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from .decontamination import op7_decontamination
+from .packing import op1_packing
 from .quality import OP4_SQL, op4_quality
 from .sharding import op9_sharding
+from .simhash import op2_simhash
 from .token_counts import op10_token_counts
 
 QUERIES = {
+    "op1_packing": op1_packing,
+    "op2_simhash": op2_simhash,
     "op4_quality": op4_quality,
+    "op7_decontamination": op7_decontamination,
     "op9_sharding": op9_sharding,
     "op10_token_counts": op10_token_counts,
 }
