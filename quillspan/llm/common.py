@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound Arrow batches by bytes, so that very long texts don't pile up in one."""
+    """Bound Arrow batches by bytes, so that very long texts don't pile up in one; let Python workers find this package."""
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 

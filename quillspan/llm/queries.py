@@ -7,6 +7,7 @@ from .packing import op1_packing
 from .quality import OP4_SQL, op4_quality
 from .sharding import op9_sharding
 from .simhash import op2_simhash
+from .substring_dedup import op8_substring_dedup
 from .token_counts import op10_token_counts
 
 QUERIES = {
@@ -14,6 +15,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op4_quality": op4_quality,
     "op7_decontamination": op7_decontamination,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_sharding": op9_sharding,
     "op10_token_counts": op10_token_counts,
 }
