@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, table
+from .common import local_rows, table
 
 WINDOW = 8
 SAMPLE_ROWS, SAMPLE_COPIES = 256, 6
@@ -113,8 +113,9 @@ def lazy_rules(limits: Limits) -> dict[str, str]:
 
 def cascade_order(docs: DataFrame, conditions: dict[str, str], rows: int = SAMPLE_ROWS) -> list[str]:
     """Rule names by rejection per cost, measured on at most ``rows`` documents; rules that reject nothing come last, cheapest first."""
-    sample = materialise(docs.select("text").limit(rows), "quality-sample")
-    n = max(1, sample.count())
+    taken = docs.select("text").take(rows)  # reads the first partitions only
+    n = max(1, len(taken))
+    sample = local_rows(docs.sparkSession, [(r.text,) for r in taken], {"text": "string"})
     again = sample.select("text", F.explode(F.sequence(F.lit(1), F.lit(SAMPLE_COPIES))).alias("copy")).select(F.concat("text", F.lit("\n"), F.col("copy").cast("string")).alias("text"))
     found = {}
     for name, condition in conditions.items():
