@@ -11,7 +11,9 @@ give no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,12 +29,19 @@ CAPACITY, END_ID, SALTS = 4096, 1, 64
 CACHED_WORDS = 600_000
 
 
+def _little_endian(ids: list[int]) -> bytes:
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
 class WordEncoder:
     """Ids of whole texts as little-endian 32-bit strings, put together from cached runs between ASCII white space.
 
     The tokenizer drops white space before it forms words, so no token spans it and a run's ids do not depend on what
-    surrounds it. A run of letters with a full stop or comma behind an ASCII letter splits there as well. Once the cache is
-    full, runs not in it are encoded each time.
+    surrounds it. A run of letters with a full stop or comma behind an ASCII letter splits there as well, and a run of letters
+    alone is one word, which goes to the model directly. Once the cache is full, runs not in it are encoded each time.
     """
 
     _loaded: dict[str, WordEncoder] = {}
@@ -46,6 +55,9 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.cached, self.known = cached, {}
         self.marks = {m: self._ids([m])[0] for m in (".", ",")}
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # fixed values: how byte-level models write bytes
+        rest = [b for b in range(256) if b not in shown]
+        self.letters = {b: b for b in shown} | {b: 256 + i for i, b in enumerate(rest)}
 
     @classmethod
     def get(cls, path: str) -> WordEncoder:
@@ -56,6 +68,22 @@ class WordEncoder:
     def _ids(self, runs: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words; those of common letters alone skip the steps that would leave them as they are."""
+        out, other, pick = [], [], self.tokenizer.model.tokenize
+        for i, w in enumerate(words):
+            if w.isascii() and w.isalpha():
+                out.append(_little_endian([t.id for t in pick(w.lower())]))
+            elif w.isalpha() and max(w) < "\u0250" and "\u0130" not in w:  # single letters, each with one lower case
+                shown = w.lower().encode().decode("latin-1").translate(self.letters)
+                out.append(_little_endian([t.id for t in pick(shown)]))
+            else:
+                out.append(b"")
+                other.append(i)
+        for i, ids in zip(other, self._ids([words[i] for i in other]), strict=True):
+            out[i] = ids
+        return out
+
     def _learn(self, runs: set[bytes]) -> dict[bytes, bytes]:
         """Ids of runs that are not cached."""
         found, stems, ask = {}, {}, []
@@ -72,7 +100,7 @@ class WordEncoder:
             else:
                 ask.append(run)
         ask = list(dict.fromkeys(ask))
-        fresh = dict(zip(ask, self._ids([a.decode() for a in ask]), strict=True))
+        fresh = dict(zip(ask, self._words([a.decode() for a in ask]), strict=True))
         for run, (stem, mark) in stems.items():
             found[run] = fresh[stem] + self.marks[mark]
         found |= fresh
