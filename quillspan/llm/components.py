@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 MAX_ROUNDS = 60
+#: Rows in one file of a round's table: a round on few edges writes few files.
+FILE_ROWS = 500_000
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -29,17 +31,17 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return linked.union(low.select("u", F.col("m").alias("v"))).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, files: int = 1) -> DataFrame:
     """(node, root) of every node of ``edges`` (u, v: long) that isn't itself the smallest of its component.
 
-    No edges give no rows; loops and repeated edges don't matter. Null ends are dropped.
+    No edges give no rows; loops and repeated edges don't matter. Null ends are dropped. ``files``: of the first table.
     """
-    now = materialise(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    now = materialise(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct().coalesce(files), "edges")
     before = None
     for _ in range(MAX_ROUNDS):
-        now = materialise(_small_star(_large_star(now)), "stars")
+        now = materialise(_small_star(_large_star(now)).coalesce(files), "stars")
         state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if state == before:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = state
+        before, files = state, 1 + state.n // FILE_ROWS
     raise RuntimeError("components did not converge")

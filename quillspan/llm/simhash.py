@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialise, small_batches, table
-from .components import components
+from .components import FILE_ROWS, components
 
 SHINGLE, SEED, MAX_BITS = 4, 42, 4
 #: First bit and width of each block.
@@ -119,11 +119,11 @@ def bucket_edges(fps: np.ndarray, bits: int = MAX_BITS) -> list[tuple[int, int]]
     return out
 
 
-def links(prints: DataFrame, bits: int = MAX_BITS) -> DataFrame:
+def links(prints: DataFrame, bits: int = MAX_BITS, files: int = 1) -> DataFrame:
     """Edges (u, v) between representatives ``rep`` of distinct fingerprints (rep, fp) that together connect all close pairs."""
     keyed = prints.select("rep", "fp", F.explode(F.array(*block_keys())).alias("key"))
     hot = keyed.groupBy("key").count().filter(F.col("count") > CHUNK).select(F.col("key"), F.ceil(F.col("count") / CHUNK).cast("int").alias("parts"))
-    hot = materialise(hot, "hot-keys")  # at most 15 / CHUNK of the fingerprints
+    hot = materialise(hot.coalesce(files), "hot-keys")  # at most 15 / CHUNK of the fingerprints
     marked = keyed.join(hot, "key", "left")
     mine = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
     spread = F.when(F.col("parts").isNull(), F.array(F.lit(0))).otherwise(
@@ -180,18 +180,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, b
     if bits > len(BLOCKS) - 2:
         raise ValueError("six blocks guarantee two equal blocks for at most four differing bits")
     prints = materialise(fingerprints(docs, shingle, seed), "fingerprints")
-    distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct-fingerprints")
-    roots = components(links(distinct, bits))
+    files = 1 + prints.count() // FILE_ROWS  # small tables get few files
+    distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")).coalesce(files), "distinct-fingerprints")
+    roots = components(links(distinct, bits, files), files)
     classes = distinct.join(roots, distinct.rep == roots.node, "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
-    """One document of each group, the one with the smallest doc_id, with all its columns; repeated rows of that id leave one."""
+    """One document of each group, the one with the smallest doc_id, with all its columns.
+
+    Rows that repeat that id leave one; rows with a null doc_id stand for no group and go.
+    """
     found = near_duplicates(docs, bits=bits)
     keep = found.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    rest = docs.join(keep, F.col("doc_id").cast("long") == F.col("_kept"), "left_semi")
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
+    rest = docs.join(keep, docs.doc_id == keep["_kept"], "left_semi")
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
     return rest.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
 
 
