@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, table
+from .common import materialise, partitions, table
 
 SPAN = 1024
 #: Names that logs use for the three roles.
@@ -60,12 +60,13 @@ def maximal(turns: DataFrame) -> DataFrame:
 
 def format_chats(turns: DataFrame, span: int = SPAN) -> DataFrame:
     """conv_id, part, first_turn, n_turns, n_copies and the rendered text of every part of the maximal conversations."""
-    steps = materialise(numbered(turns, span), "turns")
+    files = partitions(turns)
+    steps = materialise(numbered(turns, span).coalesce(files), "turns")
     kept = maximal(steps).withColumnRenamed("conv_id", "_conv")
     line = F.concat(F.lit("<|"), F.replace("role", F.lit("<|"), F.lit("< |")), F.lit("|>\n"), F.replace("text", F.lit("<|"), F.lit("< |")), F.lit("<|end|>\n"))
     chosen = steps.join(kept, F.col("conv_id") == F.col("_conv"))
     parts = chosen.groupBy("conv_id", "part", "n_turns", "n_copies").agg(F.min("k").alias("first_turn"), F.sort_array(F.collect_list(F.struct("k", line.alias("line")))).alias("lines"))
-    return parts.select("conv_id", "part", "first_turn", "n_turns", "n_copies", F.expr("array_join(transform(lines, x -> x.line), '')").alias("text"))
+    return parts.select("conv_id", "part", "first_turn", "n_turns", "n_copies", F.expr("array_join(transform(lines, x -> x.line), '')").alias("text")).coalesce(files)
 
 
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

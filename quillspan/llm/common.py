@@ -61,6 +61,11 @@ def local_rows(spark: SparkSession, rows: list[tuple], columns: dict[str, str])
     return spark.createDataFrame(pa.table(data, names=list(columns)), ", ".join(f"{c} {t}" for c, t in columns.items()))
 
 
+def partitions(df: DataFrame) -> int:
+    """How many partitions a scanned table has; results get as many files, so their number follows the input."""
+    return max(1, df.rdd.getNumPartitions())
+
+
 def ascii_lower(col):
     """Lower-case A-Z only; other letters keep their case."""
     return F.translate(col, UPPER, LOWER)

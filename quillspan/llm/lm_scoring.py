@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, small_batches, table
+from .common import materialise, partitions, small_batches, table
 from .gru import Network, score, train
 
 FOLDS, HELD_OUT, ROUNDS, MERGERS = 5, 1, 3, 64
@@ -215,7 +215,8 @@ def score_documents(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OU
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     split = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), fold().alias("crc"))
     training = split.filter(F.col("crc") % folds != held_out).withColumn("part", F.expr(f"crc div {folds} % {rounds}"))
-    counts = materialise(count_tokens(training), "token-counts")
+    files = partitions(docs)
+    counts = materialise(count_tokens(training).coalesce(files), "token-counts")
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     classes = choose_classes(counts)
     mass, kinds = class_sums(counts, classes)
@@ -263,7 +264,7 @@ def score_documents(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OU
     return scored.join(found, "row", "left").select(
         "doc_id", (F.col("crc") % folds == held_out).alias("held_out"), "n_tokens", (F.col("n_common") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
         F.lit(int(totals.n)).cast("long").alias("train_tokens"), (logs - F.col("n_tokens") * math.log10(totals.n + 0.5 * (totals.v + 1))).alias("base_score"), (logs + F.col("path")).alias("score"),
-    )
+    ).coalesce(files)
 
 
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
