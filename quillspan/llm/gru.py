@@ -139,12 +139,11 @@ def train(net: Network, docs: list[np.ndarray], steps: int = STEPS, lanes: int =
         grads = {n: np.zeros_like(getattr(net, n)) for n in net.NAMES}
         stacked = np.concatenate([x[-1] for x in kept])
         goal = np.concatenate([targets[t, : width[t]] for t in window])
-        p = stacked @ net.w + net.b
-        p -= p.max(axis=1, keepdims=True)
-        np.exp(p, out=p)
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(goal)), goal] -= 1
-        p /= count
+        p = stacked @ net.w
+        p += net.b
+        np.exp(p, out=p)  # states lie in (-1, 1), so logits stay small
+        p *= (1 / (count * p.sum(axis=1, dtype=np.float32)))[:, None]
+        p[np.arange(len(goal)), goal] -= np.float32(1 / count)
         grads["w"], grads["b"] = stacked.T @ p, p.sum(axis=0)
         out = p @ net.w.T
         ends = np.cumsum([len(x[-1]) for x in kept])

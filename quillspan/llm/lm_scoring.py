@@ -20,6 +20,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from .common import materialise, partitions, small_batches, table
 from .gru import Network, score, train
 
 FOLDS, HELD_OUT, ROUNDS, MERGERS = 5, 1, 3, 64
-KNOWN, OWN_CLASS, ENDINGS, MIXED = 1 << 20, 40, 48, 7
+KNOWN, OWN_CLASS, ENDINGS, MIXED = 1 << 20, 32, 32, 7
 END = ""  # the end token; no word is empty
 BATCH_BYTES, TRAIN_TOKENS, COUNTED = 12 << 20, 400_000, 1 << 20
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -80,7 +81,18 @@ class Lexicon:
     def __post_init__(self):
         self.at = {w: i for i, w in enumerate(self.words)}
         self.cls = np.array([self.classes.of(w) for w in self.words], np.int32)
-        self.logs = np.log10(self.counts + 0.5)
+        self.cls = np.r_[self.cls, 0].astype(np.int32)
+        self.logs = np.r_[np.log10(self.counts + 0.5), 0.0]
+
+    def sequence(self, own: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[int]]:
+        """(classes, places among the common words, indices of tokens that are none of them); the place behind the last stands for none."""
+        none = len(self.words)
+        at = np.fromiter(map(self.at.get, own, repeat(none)), np.int32, len(own))
+        found, missing = self.cls[at], np.flatnonzero(at == none).tolist()
+        of = self.classes.of
+        for i in missing:
+            found[i] = of(own[i])
+        return found, at, missing
 
     def __reduce__(self):
         return Lexicon, (self.words, self.counts, self.classes, self.weight, self.flat)
@@ -187,12 +199,10 @@ def learn(docs: DataFrame, shared, rounds: int = ROUNDS) -> np.ndarray:
 
             lexicon = shared.value
             net, state, held, n, total = Network.of(start.value, lexicon.classes.n), None, [], 0, 0
-            get, of, cls = lexicon.at.get, lexicon.classes.of, lexicon.cls
             for batch in batches:
                 for text in batch.column(0).to_pylist():
                     own = tokens(text)
-                    at = list(map(get, own))
-                    held.append(np.array([of(w) if a is None else cls[a] for w, a in zip(own, at, strict=True)], np.int32) if None in at else cls[at])
+                    held.append(lexicon.sequence(own)[0])
                     n += len(own)
                     if n >= TRAIN_TOKENS:
                         state = train(net, held, state=state)
@@ -230,20 +240,14 @@ def score_documents(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OU
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex = shared.value
         net = Network.of(trained.value, lex.classes.n)
-        get, of = lex.at.get, lex.classes.of
         for batch in batches:
             sequences, sums, rare_words, rare_counts = [], [], [], []
             for text in batch.column(1).to_pylist():
                 own = tokens(text)
-                at = list(map(get, own))
-                if None in at:
-                    rare = Counter([w for w, a in zip(own, at, strict=True) if a is None])
-                    sequence = np.array([of(w) if a is None else lex.cls[a] for w, a in zip(own, at, strict=True)], np.int32)
-                    at = [a for a in at if a is not None]
-                else:
-                    rare, sequence = {}, lex.cls[at]
+                sequence, at, missing = lex.sequence(own)
+                rare = Counter([own[i] for i in missing])
                 sequences.append(sequence)
-                sums.append((len(own), len(at), float(lex.logs[at].sum()), float(lex.weight[sequence].sum())))
+                sums.append((len(own), len(own) - len(missing), float(lex.logs[at].sum()), float(lex.weight[sequence].sum())))
                 rare_words.append(list(rare))
                 rare_counts.append(list(rare.values()))
             paths = score(net, sequences)
