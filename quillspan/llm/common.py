@@ -1,19 +1,18 @@
-"""Shared helpers: table access, reliable intermediate tables, bounded Arrow batches."""
+"""Shared helpers: table access, bounded Arrow batches."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-from pathlib import Path
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialise, ship
+
 #: ASCII white space of the word rule ``[^\x20\x09-\x0D]+``.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+__all__ = ["materialise"]
+
 #: Bytes in one Arrow batch: what a Python worker holds of whole texts at a time.
 ARROW_BYTES = 4 << 20
 
@@ -24,30 +23,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def small_batches(spark: SparkSession) -> None:
     """Bound Arrow batches by bytes, so that very long texts don't pile up in one; let Python workers find this package."""
-    root = str(Path(__file__).resolve().parents[2])
-    known = spark.sparkContext.environment.get("PYTHONPATH", "")
-    if root not in known.split(os.pathsep):
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
-def scratch(spark: SparkSession) -> str:
-    """The folder all executors share; one of our own only where the session names none (tests, local mode)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="quillspan-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage and survives the loss of any executor."""
-    spark = df.sparkSession
-    path = f"{scratch(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 _ARROW = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary()}
 
 
