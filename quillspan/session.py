@@ -18,12 +18,18 @@ def ship(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
 
 
+#: Folders made for sessions that name none, by application.
+_OWN: dict[str, str] = {}
+
+
 def scratch(spark: SparkSession) -> str:
     """The folder all executors share; one of our own only where the session names none (tests, local mode)."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="quillspan-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        own = spark.sparkContext.applicationId
+        if own not in _OWN:
+            _OWN[own] = "file://" + tempfile.mkdtemp(prefix="quillspan-")
+        folder = _OWN[own]
     return folder
 
 
