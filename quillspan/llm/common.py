@@ -21,10 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
+def small_batches(spark: SparkSession, size: int = ARROW_BYTES) -> None:
     """Bound Arrow batches by bytes, so that very long texts don't pile up in one; let Python workers find this package."""
     ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 _ARROW = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary()}

@@ -30,10 +30,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bwt_lcp import GAP, long_prefix_rows
-from .common import materialise, small_batches, table
+from .common import materialise, partitions, small_batches, table
 
 LENGTH, GRAM = 100, 32
-SHARD_BYTES = 2 << 20
+#: Bytes of contexts in one index, and of texts in one batch; both decide what a Python worker holds.
+SHARD_BYTES, BATCH_BYTES = 1 << 20, 2 << 20
 NO_ID = -(2**63)
 _ODD, _STEP = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
 
@@ -250,13 +251,14 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int =
     """(doc, first, last) of byte spans to remove, in any order and overlapping; together they cover what must go."""
     if gram & (gram - 1) or gram > length // 2:
         raise ValueError("gram must be a power of two and at most half of length")
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, BATCH_BYTES)
     wire = docs.mapInArrow(_scan(length, gram), ", ".join(f"{c} long" for c in _WIRE))
-    found = materialise(wire.repartition("anchor").mapInArrow(_settle(length), ", ".join(f"{c} long" for c in _FOUND)), "contexts")
+    files = partitions(docs)
+    found = materialise(wire.repartition("anchor").mapInArrow(_settle(length), ", ".join(f"{c} long" for c in _FOUND)).coalesce(files), "contexts")
     wanted = found.filter("lead >= 0").groupBy("doc").agg(F.collect_list(F.struct("first", "last", "anchor", "lead")).alias("spots"))
     bytes_ = docs.join(wanted.hint("shuffle_hash"), docs.doc_id == wanted.doc).select("doc_id", "text", "spots")
     dealt = bytes_.mapInArrow(_fetch(length, gram), "key long, doc long, first long, bytes binary").repartition("key")
-    indexed = materialise(dealt.mapInArrow(_index(length, shard), "doc long, first long, last long"), "indexed")
+    indexed = materialise(dealt.mapInArrow(_index(length, shard), "doc long, first long, last long").coalesce(files), "indexed")
     return found.filter("lead < 0").select("doc", "first", "last").union(indexed)
 
 
@@ -297,7 +299,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
             kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], k) for k in kinds], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary").coalesce(partitions(docs))
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
