@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
+from ..functions.columns import once
 from ..functions.text import SPARK as S
 
 EXTRACTOR = "heuristic-v1"
@@ -14,7 +15,8 @@ EXTRACTOR = "heuristic-v1"
 def with_canonical(df: DataFrame, source: str = "text") -> DataFrame:
     """Add ``canonical_text``, ``lower`` and ``n_words`` of a text column."""
     bare = df.withColumn("_bare", F.expr(S.canonical(source)))
-    return bare.withColumn("canonical_text", F.expr(S.canonical_done("_bare"))).drop("_bare").withColumn("lower", F.expr(S.lower("canonical_text"))).withColumn("n_words", F.expr(S.words("canonical_text")))
+    done = once(bare, canonical_text=S.canonical_done("_bare")).drop("_bare")
+    return once(done, lower=S.lower("canonical_text"), n_words=S.words("canonical_text"))
 
 
 def proposition_id(col: str = "canonical_text") -> Column:
@@ -25,11 +27,11 @@ def extract(fragments: DataFrame) -> DataFrame:
     """Candidates from fragments (id, document_id, text, pos): statements of three words or more that are neither questions nor instructions."""
     df = with_canonical(fragments.select("document_id", "pos", F.col("id").alias("fragment_id"), "text"))
     df = df.filter("canonical_text <> '' and n_words >= 3").filter(f"not {S.is_question('canonical_text', 'lower')} and not {S.is_instruction('lower')}")
-    df = df.withColumn("claim_kind", F.expr(S.claim_kind("lower")))
-    df = df.withColumn("confidence", F.expr(S.confidence("canonical_text", "lower", "n_words", "claim_kind")))
+    df = once(df, claim_kind=S.claim_kind("lower"))
+    df = once(df, confidence=S.confidence("canonical_text", "lower", "n_words", "claim_kind"), negated=S.negated("lower"), domain=S.domain("lower"))
     return df.select(
         "document_id", "pos", proposition_id().alias("id"), "canonical_text", "claim_kind", F.expr("if(confidence >= 0.55, 'accepted', 'exploring')").alias("assertion_status"), "confidence",
-        F.expr(S.negated("lower")).alias("negated"), F.expr(S.domain("lower")).alias("domain"), F.array("fragment_id").alias("fragment_ids"), F.lit(EXTRACTOR).alias("extractor"),
+        "negated", "domain", F.array("fragment_id").alias("fragment_ids"), F.lit(EXTRACTOR).alias("extractor"),
     )
 
 
@@ -94,15 +96,20 @@ def relation_of_label(col: str) -> Column:
     return F.expr(f"case when {label(col)} = 'variantof' then 'variant_of' when {label(col)} in ({', '.join(map(S.text, RELATIONS))}) then {label(col)} end")
 
 
-def normalise(candidates: DataFrame, fragments: DataFrame, min_confidence: float = 0.35) -> tuple[DataFrame, DataFrame]:
-    """(candidates with normalised text, id, confidence and known fragments; diagnostics of those dropped)."""
-    df = candidates.withColumn("_bare", F.expr(S.canonical("canonical_text"))).withColumn("canonical_text", F.expr(S.canonical_done("_bare"))).drop("_bare")
-    df = df.withColumn("id", proposition_id()).withColumn("confidence", F.expr(S.clamp("confidence")))
-    known = df.select("document_id", "pos", F.posexplode("fragment_ids").alias("n", "id")).join(fragments.select("document_id", "id"), ["document_id", "id"], "left_semi")
-    kept = known.groupBy("document_id", "pos").agg(F.sort_array(F.collect_list(F.struct("n", "id"))).alias("known"))
-    first = fragments.groupBy("document_id").agg(F.min_by("id", "pos").alias("first_fragment"))
-    df = df.join(kept, ["document_id", "pos"], "left").join(first, "document_id", "left")
-    df = df.withColumn("fragment_ids", F.expr("if(known is not null, transform(known, x -> x.id), if(first_fragment is null, cast(array() as array<string>), array(first_fragment)))")).drop("known", "first_fragment")
+def normalise(candidates: DataFrame, fragments: DataFrame | None, min_confidence: float = 0.35) -> tuple[DataFrame, DataFrame]:
+    """(candidates with normalised text, id, confidence and known fragments; diagnostics of those dropped).
+
+    Without ``fragments`` the candidates are taken to be as :func:`extract` makes them: texts normalised, fragments known.
+    """
+    df = candidates
+    if fragments is not None:
+        df = once(df.withColumn("_bare", F.expr(S.canonical("canonical_text"))), canonical_text=S.canonical_done("_bare")).drop("_bare")
+        df = df.withColumn("id", proposition_id()).withColumn("confidence", F.expr(S.clamp("confidence")))
+        known = df.select("document_id", "pos", F.posexplode("fragment_ids").alias("n", "id")).join(fragments.select("document_id", "id"), ["document_id", "id"], "left_semi")
+        kept = known.groupBy("document_id", "pos").agg(F.sort_array(F.collect_list(F.struct("n", "id"))).alias("known"))
+        first = fragments.groupBy("document_id").agg(F.min_by("id", "pos").alias("first_fragment"))
+        df = df.join(kept, ["document_id", "pos"], "left").join(first, "document_id", "left")
+        df = df.withColumn("fragment_ids", F.expr("if(known is not null, transform(known, x -> x.id), if(first_fragment is null, cast(array() as array<string>), array(first_fragment)))")).drop("known", "first_fragment")
     empty = df.filter("canonical_text = ''").select("document_id", F.lit("empty_candidate").alias("code"), F.lit("warning").alias("severity"), F.lit("A candidate had no usable canonical text.").alias("message"), F.lit(None).cast("string").alias("target_id"))
     full = df.filter("canonical_text <> ''")
     low = full.filter(F.col("confidence") < min_confidence).select(

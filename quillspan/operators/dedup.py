@@ -17,18 +17,18 @@ def with_tokens(candidates: DataFrame) -> DataFrame:
 
 def merge(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(kept candidates, diagnostics). The first of each group is kept and takes over fragments, largest confidence and the others' ids."""
-    df = with_tokens(candidates)
+    df = with_tokens(candidates.repartition("document_id"))  # the groups and the order below both keep this partitioning
     key = ["document_id", "fingerprint", "claim_kind", "negated"]
     groups = df.groupBy(*key).agg(
         F.min("pos").alias("pos"), F.min_by(F.struct("id", "canonical_text", "domain", "content_tokens", "relation_tokens"), "pos").alias("first"), F.max("confidence").alias("confidence"), F.count("*").alias("n"),
-        F.sort_array(F.collect_list(F.struct("pos", "fragment_ids", "id", "canonical_text"))).alias("members"),
+        F.sort_array(F.collect_list(F.struct("pos", "fragment_ids", "id"))).alias("members"),
     )
     kept = groups.select(
         "document_id", "pos", "first.*", "claim_kind", "negated", "fingerprint", "confidence", F.expr("if(confidence >= 0.55, 'accepted', 'exploring')").alias("assertion_status"),
         F.expr("array_distinct(flatten(transform(members, x -> x.fragment_ids)))").alias("fragment_ids"),
         F.expr("array_sort(array_distinct(transform(slice(members, 2, size(members)), x -> x.id)))").alias("duplicate_ids"), "n", "members",
     )
-    merged = kept.select("document_id", F.col("id").alias("kept"), F.col("canonical_text").alias("kept_text"), F.explode(F.expr("slice(members, 2, size(members))")).alias("m")).filter("m.canonical_text <> kept_text")
+    merged = kept.select("document_id", F.col("id").alias("kept"), F.explode(F.expr("slice(members, 2, size(members))")).alias("m")).filter("m.id <> kept")  # ids are hashes of texts
     diagnostics = merged.select(
         "document_id", F.lit("fingerprint_duplicate_merged").alias("code"), F.lit("info").alias("severity"),
         F.concat(F.lit("Candidate '"), "m.id", F.lit("' was merged into '"), "kept", F.lit("' because their normalized fingerprints matched.")).alias("message"), F.col("kept").alias("target_id"),

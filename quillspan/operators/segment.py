@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
+from ..functions.columns import once
 from ..functions.text import SPARK as S
 
 #: Marks between pieces; private-use characters, which texts do not hold.
@@ -33,7 +34,7 @@ def ingest(docs: DataFrame) -> DataFrame:
 
     Use :func:`empty_inputs` to see which were dropped.
     """
-    df = docs.withColumn("raw", F.coalesce("text", F.lit(""))).withColumn("text", F.expr(S.ingest("text"))).filter("text <> ''")
+    df = once(docs.withColumn("raw", F.coalesce("text", F.lit(""))), text=S.ingest("text")).filter("text <> ''")
     df = df.withColumn("kind", F.expr("coalesce(nullif(kind, ''), 'philosophical_text')"))
     df = df.withColumn("raw_text_hash", F.sha2("text", 256))
     own = F.expr(f"nullif({S.trim('id')}, '')")
@@ -49,9 +50,9 @@ def empty_inputs(docs: DataFrame) -> DataFrame:
 def sentences(docs: DataFrame) -> DataFrame:
     """document_id, pos, paragraph_index, start_byte, end_byte, text, n_words of every sentence of ingested documents."""
     cut = docs.select("document_id", F.posexplode(F.expr(pieces(S, "text"))).alias("pos", "piece"))
-    cut = cut.withColumn("text", F.expr(S.trim("piece"))).withColumn("lead", F.expr(f"octet_length(piece) - octet_length({S.left_trim('piece')})"))
-    breaks = lambda x: f"(size(split({x}, '\\\\n[ \\\\t]*\\\\n')) - 1)"
-    cut = cut.withColumn("breaks", F.expr(breaks("piece"))).withColumn("lead_breaks", F.expr(breaks("substring_index(piece, text, 1)")))
+    breaks = lambda x: f"if(contains({x}, '\\n'), size(split({x}, '\\\\n[ \\\\t]*\\\\n')) - 1, 0)"
+    stripped = S.left_trim("piece")
+    cut = once(cut, text=S.trim("piece"), lead=f"octet_length(piece) - octet_length({stripped})", breaks=breaks("piece"), lead_breaks=breaks(f"left(piece, char_length(piece) - char_length({stripped}))"))
     before = Window.partitionBy("document_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     placed = cut.withColumn("base", F.coalesce(F.sum(F.octet_length("piece")).over(before), F.lit(0))).withColumn("paragraph_index", F.coalesce(F.sum("breaks").over(before), F.lit(0)) + F.col("lead_breaks"))
     placed = placed.filter("text <> ''").withColumn("start_byte", F.col("base") + F.col("lead")).withColumn("n_words", F.expr(S.words("text")))

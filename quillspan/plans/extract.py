@@ -78,7 +78,7 @@ class Extraction:
 
     @cached_property
     def _normalised(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        kept, dropped = claims.normalise(self.raw_candidates, self.fragments, self.config.min_confidence)
+        kept, dropped = claims.normalise(self.raw_candidates, None, self.config.min_confidence)
         merged, notes = dedup.merge(kept)
         return self._share(merged, "propositions"), dropped, notes
 
@@ -90,9 +90,14 @@ class Extraction:
     def _none(self) -> DataFrame:
         return self.propositions.sparkSession.createDataFrame([], relate.RELATION)
 
+    @cached_property
+    def lexical(self) -> DataFrame:
+        """Relations of the first pass."""
+        return self._share(relate.relations(self.propositions, self.config.rerank), "lexical")
+
     @cached_property
     def first_pass(self) -> DataFrame:
-        found = relate.relations(self.propositions, self.config.rerank) if self.config.include_relations else self._none()
+        found = self.lexical if self.config.include_relations else self._none()
         index = rank.rank(rank.score(self.propositions, self.passages, self.role_of, found))
         if self.config.max_propositions is not None:
             index = index.filter(F.col("pos") <= self.config.max_propositions)

@@ -14,8 +14,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def docs(spark: SparkSession, sf_dir: str) -> Extraction:
-    return Extraction(documents.from_table(table(spark, sf_dir, "documents")), keep=False)
+def docs(spark: SparkSession, sf_dir: str, keep: bool = False) -> Extraction:
+    """A run over all documents; ``keep`` where a query reads the same tables several times."""
+    return Extraction(documents.from_table(table(spark, sf_dir, "documents")), keep=keep)
 
 
 def chats(spark: SparkSession, sf_dir: str) -> Extraction:
@@ -106,16 +107,16 @@ def dedup_diagnostics(spark, sf_dir):
 
 
 def relations_lexical(spark, sf_dir):
-    return relate.lexical_relations(docs(spark, sf_dir).propositions).select("document_id", "from_id", "to_id", "kind", "confidence")
+    return relate.lexical_relations(docs(spark, sf_dir, True).propositions).select("document_id", "from_id", "to_id", "kind", "confidence")
 
 
 def relations_variant(spark, sf_dir):
-    return relate.variant_relations(docs(spark, sf_dir).propositions).select("document_id", "from_id", "to_id", "kind", F.round("confidence", 6).alias("confidence"))
+    return relate.variant_relations(docs(spark, sf_dir, True).propositions).select("document_id", "from_id", "to_id", "kind", F.round("confidence", 6).alias("confidence"))
 
 
 def _scored(spark, sf_dir) -> DataFrame:
-    run = docs(spark, sf_dir)
-    return rank.score(run.propositions, run.passages, run.role_of, relate.relations(run.propositions))
+    run = docs(spark, sf_dir, True)
+    return rank.score(run.propositions, run.passages, run.role_of, run.lexical)
 
 
 def score_breakdown(spark, sf_dir):
@@ -129,7 +130,7 @@ def rank_topk(spark, sf_dir):
 def _norm(spark, sf_dir) -> tuple[Extraction, DataFrame]:
     from ..operators import formal
 
-    run = docs(spark, sf_dir)
+    run = docs(spark, sf_dir, True)
     return run, formal.normalised_propositions(run.propositions, run.role_of)
 
 
@@ -154,11 +155,11 @@ def worldview_facets(spark, sf_dir):
 
 
 def worldview_relations(spark, sf_dir):
-    return worldview.relation_rows(relate.relations(docs(spark, sf_dir).propositions)).select("document_id", "id", "kind")
+    return worldview.relation_rows(relate.relations(docs(spark, sf_dir, True).propositions)).select("document_id", "id", "kind")
 
 
 def stage_summaries(spark, sf_dir):
-    run = docs(spark, sf_dir)
+    run = docs(spark, sf_dir, True)
     parts = [("ingest", run.ingested), ("segment", run.passages), ("extract_claims", run.raw_candidates), ("classify_roles", run.roles), ("normalize_propositions", run.propositions), ("relate", relate.relations(run.propositions))]
     out = None
     for name, df in parts:
@@ -224,7 +225,7 @@ def heading_paths(spark, sf_dir):
 
 
 def relation_rerank(spark, sf_dir):
-    run = docs(spark, sf_dir)
+    run = docs(spark, sf_dir, True)
     return relate.reranked(run.propositions, relate.relations(run.propositions)).select("document_id", "from_id", "to_id", "kind", F.round("confidence", 6).alias("confidence"))
 
 
