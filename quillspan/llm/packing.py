@@ -112,17 +112,23 @@ class WordEncoder:
         return found
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").encode().split() for t in texts]
-        known = self.known
-        missing = set().union(*split).difference(known)
-        extra = self._learn(missing) if missing else {}
-        out = []
-        for runs in split:
-            try:
-                out.append(b"".join([known[r] for r in runs]))
-            except KeyError:
-                out.append(b"".join([known[r] if r in known else extra[r] for r in runs]))
-        return out
+        get = self.known.get
+        found, gaps, missing = [], [], set()
+        for t in texts:
+            runs = (t or "").encode().split()
+            ids = list(map(get, runs))
+            if None in ids:
+                at = [i for i, x in enumerate(ids) if x is None]
+                own = [runs[i] for i in at]
+                missing.update(own)
+                gaps.append((ids, at, own))
+            found.append(ids)
+        if missing:
+            extra = self._learn(missing)
+            for ids, at, own in gaps:
+                for i, run in zip(at, own, strict=True):
+                    ids[i] = extra[run]
+        return [b"".join(ids) for ids in found]
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
