@@ -45,6 +45,14 @@ def partitions(df: DataFrame) -> int:
     return max(1, df.rdd.getNumPartitions())
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have (names differ by more than case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def ascii_lower(col):
     """Lower-case A-Z only; other letters keep their case."""
     return F.translate(col, UPPER, LOWER)

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import spare, table
 
 KEY, ROUNDS = "quillspan test key", 8
 KINDS = ("email", "ip", "ssn", "date", "phone", "card", "secret")
@@ -108,29 +108,23 @@ _KIND = r"""case when contains(m, '@') then 'email' when m rlike '^[0-9]{1,3}([.
     when char_length(regexp_replace(m, '[^0-9]', '')) between 10 and 11 then 'phone' else 'card' end"""
 
 
-def _marked(docs: DataFrame, key: str) -> DataFrame:
-    """Add ``_gaps`` (texts between matches) and ``_found`` (kind, match, pseudonym)."""
+def pseudonymise(docs: DataFrame, key: str = KEY, counts: bool = True) -> DataFrame:
+    """``docs`` with pseudonyms in ``text`` and all other columns as they were; ``n_chars`` follows the text if it is there.
+
+    ``counts`` adds one column per kind, ``n_<kind>``, in place of columns of these names.
+    """
+    matches, gaps, found = (spare(docs, n) for n in ("_matches", "_gaps", "_found"))
     cases = " ".join(f"when '{k}' then {sql}" for k, sql in _pseudonyms(key).items())
-    kind = _let("right(get(_gaps, j), 16)", "before", _KIND)
-    df = docs.withColumn("_matches", F.expr(f"if(text rlike '[0-9@]', regexp_extract_all(text, {_quoted(ANY)}, 0), cast(array() as array<string>))"))
-    df = df.withColumn("_gaps", F.expr(f"if(size(_matches) > 0, split(text, {_quoted(ANY)}, -1), array(text))"))
-    one = _let(kind, "k", f"named_struct('kind', k, 'match', m, 'to', case k {cases} end)")
-    return df.withColumn("_found", F.expr(f"if(size(_matches) > 0, transform(_matches, (m, j) -> {one}), null)"))
-
-
-def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """``docs`` with pseudonyms in ``text``, one count per kind in ``n_<kind>``, and all other columns as they were; ``n_chars`` follows the text if it is there."""
-    clash = [c for c in docs.columns if c in ("_matches", "_gaps", "_found", *(f"n_{k}" for k in KINDS))]
-    if clash:
-        raise ValueError(f"columns {clash} are taken")
-    df = _marked(docs, key)
-    for k in KINDS:
-        df = df.withColumn(f"n_{k}", F.expr(f"cast(coalesce(size(filter(_found, x -> x.kind = '{k}' and x.to is not null)), 0) as bigint)").cast("long"))
-    fresh = "if(_found is null, text, concat(_gaps[0], array_join(transform(_found, (x, j) -> concat(coalesce(x.to, x.match), get(_gaps, j + 1))), '')))"
-    df = df.withColumn("text", F.expr(fresh))
+    one = _let(_let(f"right(get({gaps}, j), 16)", "before", _KIND), "k", f"named_struct('kind', k, 'match', m, 'to', case k {cases} end)")
+    df = docs.withColumn(matches, F.expr(f"if(text rlike '[0-9@]', regexp_extract_all(text, {_quoted(ANY)}, 0), cast(array() as array<string>))"))
+    df = df.withColumn(gaps, F.expr(f"if(size({matches}) > 0, split(text, {_quoted(ANY)}, -1), array(text))"))
+    df = df.withColumn(found, F.expr(f"if(size({matches}) > 0, transform({matches}, (m, j) -> {one}), null)"))
+    for k in KINDS if counts else ():
+        df = df.withColumn(f"n_{k}", F.expr(f"cast(coalesce(size(filter({found}, x -> x.kind = '{k}' and x.to is not null)), 0) as bigint)"))
+    df = df.withColumn("text", F.expr(f"if({found} is null, text, concat({gaps}[0], array_join(transform({found}, (x, j) -> concat(coalesce(x.to, x.match), get({gaps}, j + 1))), '')))"))
     if "n_chars" in docs.columns:
-        df = df.withColumn("n_chars", F.expr("if(_found is null, n_chars, cast(char_length(text) as bigint))"))
-    return df.drop("_matches", "_gaps", "_found")
+        df = df.withColumn("n_chars", F.expr(f"if({found} is null, n_chars, cast(char_length(text) as bigint))").cast(docs.schema["n_chars"].dataType))
+    return df.drop(matches, gaps, found)
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

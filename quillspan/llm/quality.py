@@ -71,7 +71,7 @@ def _repeat_words(df: DataFrame) -> DataFrame:
 
 def measure(docs: DataFrame) -> DataFrame:
     """doc_id, text and all measures of every row."""
-    df = docs.withColumn("words", F.expr(words()))
+    df = docs.select("doc_id", "text").withColumn("words", F.expr(words()))
     df = df.withColumn("n_words", F.expr("cast(size(words) as bigint)"))
     df = df.withColumn("word_chars", F.expr("cast(char_length(array_join(words, '')) as bigint)"))
     df = _repeat_words(df).drop("words")

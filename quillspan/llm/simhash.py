@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, partitions, small_batches, table
+from .common import materialise, partitions, small_batches, spare, table
 from .components import FILE_ROWS, components
 
 SHINGLE, SEED, MAX_BITS = 4, 42, 4
@@ -193,10 +193,11 @@ def drop_near_duplicates(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     Rows that repeat that id leave one; rows with a null doc_id stand for no group and go.
     """
     found = near_duplicates(docs, bits=bits)
-    keep = found.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    rest = docs.join(keep, docs.doc_id == keep["_kept"], "left_semi")
+    kept, place = spare(docs, "_kept"), spare(docs, "_place")
+    keep = found.filter("doc_id = component_id").select(F.col("doc_id").alias(kept)).distinct()
+    rest = docs.join(keep, docs.doc_id == keep[kept], "left_semi")
     order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return rest.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n").coalesce(partitions(docs))
+    return rest.withColumn(place, F.row_number().over(order)).filter(F.col(place) == 1).drop(place).coalesce(partitions(docs))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

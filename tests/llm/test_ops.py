@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quillspan.llm import bwt_lcp, chat, components, decontamination, fm_index, gru, lm_scoring, packing, packing_plan, pii, quality, sharding, simhash, substring_dedup, token_counts
 
@@ -249,6 +250,19 @@ def test_pseudonyms(spark, docs, empty):
     assert other != got[1].text
 
 
+def test_clashing_columns(spark):
+    names = ["doc_id", "text", "n_email", "_matches", "_found", "words", "fp", "_kept", "_place", "x", "n_chars", "spans", "key"]
+    rows = spark.createDataFrame([(i, "card 4417744280351547 " + "a b c d e " * i, 1, 1, 1, 1, 1, 1, 1, 1, 1, 1, 1) for i in range(5)], names).withColumn("n_chars", F.col("n_chars").cast("int"))
+    benchmark = spark.createDataFrame([(1, "nothing like it", 2)], "item_id long, text string, fp long")
+    for out in (pii.pseudonymise(rows, counts=False), simhash.drop_near_duplicates(rows), quality.filter_documents(rows), decontamination.remove_passages(rows, benchmark)):
+        assert out.schema.names == names and out.count() <= 5 and dict(out.dtypes)["n_chars"] == "int"
+    assert pii.pseudonymise(rows).filter("n_email = 0 and n_card = 1").count() == 5
+    path = token_counts.model_path("word_bpe_49k.json")
+    for out in (packing.pack(rows, path), sharding.shard_rows(rows), quality.measure(rows), decontamination.report(rows, benchmark), substring_dedup.remove_repeats(rows), lm_scoring.score_documents(rows), simhash.near_duplicates(rows), token_counts.count_tokens(rows, token_counts.model_path("piece_bpe_32k.model"))):
+        assert out.count() == 5
+    assert chat.format_chats(rows.selectExpr("doc_id as conv_id", "1 as turn", "'user' as role", "text", "x as part", "x as k")).count() == 5
+
+
 def test_pseudonyms_are_one_to_one(spark):
     rows = spark.range(3000).selectExpr("id as doc_id", "concat('1.2.', id div 256, '.', id % 256, ' ', date_add(date'1950-01-01', cast(id as int))) as text")
     found = [r.text.split(" ") for r in pii.pseudonymise(rows).collect()]
