@@ -139,3 +139,12 @@ def test_media_violations(spark):
     assert "s1" not in messages and "o1" not in messages.replace("o1]", "") and "t1" not in messages
     with pytest.raises(InvalidBatch):
         spans.require(found)
+
+
+def test_command_line_exports(spark, tmp_path):
+    from quillspan.__main__ import export
+
+    path = tmp_path / "batch.jsonl"
+    path.write_text("\n".join(json.dumps(x) for x in batch()))
+    assert json.loads(export(spark, [str(path), "--exporter-revision", "git:5"]))["exporter"]["revision"] == "git:5"
+    assert len(json.loads(export(spark, [str(path), "--source-spans"]))["spans"]) == 3

@@ -165,3 +165,14 @@ def test_streaming_equals_batch(spark, tmp_path):
     query.awaitTermination(120)
     batch = stream_claims(spark.read.schema(D.SCHEMA).parquet(str(tmp_path / "in")))
     assert {r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {r.id for r in batch.collect()} and batch.count() == 3
+
+
+def test_command_line(spark, tmp_path):
+    from quillspan.__main__ import extract
+
+    (tmp_path / "in.txt").write_text(A)
+    out = json.loads(extract(spark, [str(tmp_path / "in.txt"), "--artifact-dir", str(tmp_path / "artifacts"), "--output", str(tmp_path / "out.json"), "--title", "T"]))
+    assert out["runId"] == "run_cda1068555eeb435" and len(out["candidates"]) == 3 and out["worldview"]["label"] == "T" and len(out["artifacts"]) == 13
+    assert json.loads((tmp_path / "out.json").read_text()) == out
+    part = json.loads(extract(spark, [str(tmp_path / "in.txt"), "--stage-through", "segment", "--no-persist-artifacts"]))
+    assert part["candidates"] == [] and [s["name"] for s in part["stages"]] == ["ingest", "segment"]
