@@ -35,6 +35,7 @@ class Limits:
     max_symbol_percent: int = 5  # symbols against characters in words
     max_dup_line_percent: int = 50  # lines that repeat an earlier line against lines with a word
     max_mean_word: int = 40  # characters a word
+    max_stutter_percent: int = 30  # words equal to the word before them
 
 
 def words(text: str = "text") -> str:
@@ -51,6 +52,11 @@ def lines(text: str = "text") -> str:
     return f"filter(split(coalesce({text}, ''), '\\n'), l -> trim(BOTH ' \\t\\n\\u000b\\u000c\\r' FROM l) <> '')"
 
 
+def stutter(words: str) -> str:
+    """How many words equal the word before them."""
+    return f"size(filter({words}, (v, i) -> i > 0 and v = get({words}, i - 1)))"
+
+
 #: Hash of every window of WINDOW words, from the array ``words``.
 WORD_HASHES = "transform(words, w -> xxhash64(w))"
 WINDOW_HASHES = f"if(size(words) < {WINDOW}, cast(array() as array<bigint>), transform(sequence(0, size(words) - {WINDOW}), i -> xxhash64({', '.join(f'get(word_hashes, i + {k})' for k in range(WINDOW))})))"
@@ -74,6 +80,7 @@ def measure(docs: DataFrame) -> DataFrame:
     df = docs.select("doc_id", "text").withColumn("words", F.expr(words()))
     df = df.withColumn("n_words", F.expr("cast(size(words) as bigint)"))
     df = df.withColumn("word_chars", F.expr("cast(char_length(array_join(words, '')) as bigint)"))
+    df = df.withColumn("n_stutter", F.expr(f"cast({stutter('words')} as bigint)"))
     df = _repeat_words(df).drop("words")
     df = df.withColumn("n_symbols", F.expr(n_symbols()))
     df = df.withColumn("lines", F.expr(lines()))
@@ -89,6 +96,7 @@ def rules(limits: Limits) -> dict[str, str]:
         "symbols": f"100 * n_symbols > {limits.max_symbol_percent} * word_chars",
         "repeated_lines": f"n_lines >= 4 and 100 * n_dup_lines > {limits.max_dup_line_percent} * n_lines",
         "long_words": f"word_chars > {limits.max_mean_word} * n_words",
+        "stutter": f"100 * n_stutter > {limits.max_stutter_percent} * n_words",
     }
 
 
@@ -108,6 +116,7 @@ def lazy_rules(limits: Limits) -> dict[str, str]:
         "symbols": f"100 * {n_symbols()} > {limits.max_symbol_percent} * {chars}",
         "repeated_lines": by(lines(), "l", f"size(l) >= 4 and 100 * (size(l) - size(array_distinct(l))) > {limits.max_dup_line_percent} * size(l)"),
         "long_words": by(w, "x", f"char_length(array_join(x, '')) > {limits.max_mean_word} * size(x)"),
+        "stutter": by(w, "x", f"100 * {stutter('x')} > {limits.max_stutter_percent} * size(x)"),
     }
 
 
@@ -158,9 +167,9 @@ p as (select doc_id, i, least(8, i - coalesce(lag(i) over (partition by doc_id o
 r as (select doc_id, sum(fresh) as n_repeat_words from p group by doc_id),
 m as (select w.doc_id, cast(len(ws) as bigint) n_words, cast(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) as bigint) word_chars,
  cast(len(regexp_extract_all(t, '[#*$%&|<>]')) as bigint) n_symbols, cast(len(ls) - len(list_distinct(ls)) as bigint) n_dup_lines, len(ls) n_lines,
- cast(coalesce(n_repeat_words, 0) as bigint) n_repeat_words from w left join r using (doc_id))
+ cast(coalesce(n_repeat_words, 0) as bigint) n_repeat_words, len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) n_stutter from w left join r using (doc_id))
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
  n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
- not (n_words < 20 or 100 * n_repeat_words > 30 * n_words or 100 * n_symbols > 5 * word_chars or (n_lines >= 4 and 100 * n_dup_lines > 50 * n_lines) or word_chars > 40 * n_words) as kept
+ not (n_words < 20 or 100 * n_repeat_words > 30 * n_words or 100 * n_symbols > 5 * word_chars or (n_lines >= 4 and 100 * n_dup_lines > 50 * n_lines) or word_chars > 40 * n_words or 100 * n_stutter > 30 * n_words) as kept
 from m
 """

@@ -161,7 +161,9 @@ def test_quality(docs, empty, texts):
     def good(k):
         n, chars, symbols, dup, repeat = got[k]
         lines = sum(bool(WORD.search(x)) for x in (texts[k] or "").split("\n"))
-        return n >= 20 and 100 * repeat <= 30 * n and 100 * symbols <= 5 * chars and not (lines >= 4 and 100 * dup > 50 * lines) and chars <= 40 * n
+        w = WORD.findall(texts[k] or "")
+        stutter = sum(a == b for a, b in zip(w, w[1:], strict=False))
+        return n >= 20 and 100 * repeat <= 30 * n and 100 * symbols <= 5 * chars and not (lines >= 4 and 100 * dup > 50 * lines) and chars <= 40 * n and 100 * stutter <= 30 * n
 
     assert kept == {k for k in texts if good(k)} and {20, 9} <= kept and not kept & {1, 2, 3, 44, 45, 7}
     assert quality.filter_documents(docs).columns == docs.columns and quality.filter_documents(empty).count() == 0
