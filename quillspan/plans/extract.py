@@ -166,6 +166,14 @@ class Extraction:
             return {"stages": self.summaries()}
         return {"candidates": self.index, "candidate_index": self.index, "relations": self.relations, "worldviews": self.worldviews(), "diagnostics": self.diagnostics, "stages": self.summaries()}
 
+    def provider_metadata(self, stage: str) -> str:
+        """What is recorded about the provider of a stage, as JSON."""
+        c = self.config
+        model, backend, task = {
+            "embed": (c.embedding_model, c.embedding_backend, "text-embedding"), "classify_roles": (c.model_primary, c.classification_backend, "text-classification"), "extract_terms": (c.ner_model, c.term_extraction_backend, "token-classification"),
+        }.get(stage, ("heuristic-v1", "heuristic", stage))
+        return json.dumps({"autoDownloadModels": c.auto_download_models, "backend": backend, "modelBundleDir": c.model_bundle_dir, "modelId": model, "taskCategory": task})
+
     def write(self, folder: str | None = None) -> list[dict]:
         """Write each stage's table as JSON in an envelope of run, stage and provider; gives the artifacts' references.
 
@@ -181,7 +189,7 @@ class Extraction:
             table = self.table(name)
             rows = table.drop("run_id").join(runs, "document_id", "left") if "document_id" in table.columns else table.withColumn("run_id", F.lit(None).cast("string"))
             payload = F.struct(*[c for c in rows.columns if c != "run_id"])
-            envelope = rows.select("run_id", F.lit(name).alias("stage"), F.lit("quillspan").alias("provider"), F.lit("1").alias("providerVersion"), F.array(*[F.lit(x) for x in before]).cast("array<string>").alias("inputArtifactIds"), F.concat(F.lit("unix:"), F.unix_timestamp().cast("string")).alias("createdAt"), payload.alias("payload"))
+            envelope = rows.select("run_id", F.lit(name).alias("stage"), F.lit("quillspan").alias("provider"), F.lit("1").alias("providerVersion"), F.lit(self.provider_metadata(name)).alias("metadata"), F.array(*[F.lit(x) for x in before]).cast("array<string>").alias("inputArtifactIds"), F.concat(F.lit("unix:"), F.unix_timestamp().cast("string")).alias("createdAt"), payload.alias("payload"))
             envelope.write.mode("overwrite").json(f"{folder}/{FILES[name]}")
             refs.append({"id": name, "path": f"{folder}/{FILES[name]}", "stage": "normalize_propositions" if name == "candidate_index" else name})
             before = [name]
