@@ -158,8 +158,9 @@ def class_sums(counts: DataFrame, classes: Classes) -> tuple[np.ndarray, np.ndar
 
 
 def common_words(counts: DataFrame, limit: int) -> tuple[list[bytes], np.ndarray]:
-    """All words with at least the least count that at most ``limit`` words reach."""
-    sizes = sorted(((r.n, r.k) for r in counts.groupBy("n").agg(F.count("*").alias("k")).collect()), reverse=True)
+    """All words from the least count on that at most ``limit`` words reach; large counts are told apart by powers of two."""
+    step = F.expr("if(n < 4096, n, shiftleft(1L, cast(floor(log2(n)) as int)))")
+    sizes = sorted(((r.n, r.k) for r in counts.groupBy(step.alias("n")).agg(F.count("*").alias("k")).collect()), reverse=True)
     least, total = None, 0
     for n, k in sizes:
         total += k
