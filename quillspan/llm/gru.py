@@ -1,7 +1,8 @@
 """A gated recurrent network over classes of tokens, in numpy: truncated backpropagation through time and scoring.
 
-Many documents run side by side in lanes; a lane holds whole documents one after another, the state is carried from window
-to window and begins anew with each document.
+Many documents run side by side in lanes; a lane holds documents one after another, the state is carried from window to window and
+begins anew with each document. For training, documents longer than a lane's share are cut into pieces that run in several lanes, so
+that all tokens are learned from and lanes end together; a later piece begins with the state of the tokens before it.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 import numpy as np
 
 HIDDEN, STEPS, LANES, RATE = 16, 16, 256, 0.02
+WARM = 64  # tokens before a later piece from which its first state comes
 START = 0  # class that stands before a document's first token; never predicted
 
 
@@ -114,36 +116,60 @@ def score(net: Network, docs: list[np.ndarray], lanes: int = 4 * LANES) -> np.nd
     return out / np.log(10)
 
 
+def first_states(net: Network, docs: list[np.ndarray], cuts: list[tuple[int, int]], size: int) -> np.ndarray:
+    """The state before each piece (document, offset; multiples of ``size``): zero for a document's first piece."""
+    out, span = np.zeros((len(cuts), net.hidden), np.float32), min(WARM, size)
+    later = [i for i, (_, a) in enumerate(cuts) if a]
+    if not later:
+        return out
+    before = np.stack([docs[d][a - 1 - span : a - 1] if a > span else np.r_[START, docs[d][: a - 1]] for d, a in (cuts[i] for i in later)])
+    h = out[later]
+    for t in range(span):
+        h = net.step(h, before[:, t])[-1]
+    out[later] = h
+    return out
+
+
 def train(net: Network, docs: list[np.ndarray], steps: int = STEPS, lanes: int = LANES, rate: float = RATE, state: dict | None = None) -> dict:
-    """One pass over the documents with Adam; changes ``net``, returns the optimiser's state."""
+    """One pass over all tokens of the documents with Adam; changes ``net``, returns the optimiser's state.
+
+    A token weighs the same in every window of a call. ``tokens`` of the state counts what was learned from.
+    """
     tokens = sum(map(len, docs))
     if not tokens:
         return state or {}
     lanes = int(min(lanes, max(8, tokens // (steps * 12))))
-    targets, inputs, first, width, _ = grid(docs, lanes)
+    size = -(-tokens // (lanes * steps)) * steps
+    cuts = [(d, a) for d, x in enumerate(docs) for a in range(0, len(x), size)]
+    targets, inputs, first, width, dealt = grid([docs[d][a : a + size] for d, a in cuts], lanes)
+    number = np.zeros(first.shape, np.int32)
+    for i, own in enumerate(dealt):
+        number[first[:, i], i] = own
+    inputs[first] = np.array([docs[d][a - 1] if a else START for d, a in cuts], np.int32)[number[first]]
+    starts = first_states(net, docs, cuts, size)
+    weight = np.float32(1 / (targets.shape[1] * min(steps, len(targets))))
     k = net.hidden
-    state = state or {"n": 0, **{f"{m}{n}": np.zeros_like(getattr(net, n)) for m in "mv" for n in net.NAMES}}
+    state = state or {"n": 0, "tokens": 0, **{f"{m}{n}": np.zeros_like(getattr(net, n)) for m in "mv" for n in net.NAMES}}
     h = np.zeros((targets.shape[1], k), np.float32)
     for begin in range(0, len(targets), steps):
         window = range(begin, min(begin + steps, len(targets)))
-        if width[begin] < max(2, lanes // 8):
-            break  # the last few lanes' ends would be updates on very few documents
         kept = []
         for t in window:
             n = int(width[t])
-            h = np.where(first[t, :n, None], np.float32(0), h[:n])
+            h, fresh = h[:n], first[t, :n]
+            if fresh.any():
+                h = np.where(fresh[:, None], starts[number[t, :n]], h)
             z, r, rh, c, new = net.step(h, inputs[t, :n])
             kept.append((h, z, r, rh, c, new))
             h = new
-        count = int(width[begin : begin + steps].sum())
         grads = {n: np.zeros_like(getattr(net, n)) for n in net.NAMES}
         stacked = np.concatenate([x[-1] for x in kept])
         goal = np.concatenate([targets[t, : width[t]] for t in window])
         p = stacked @ net.w
         p += net.b
         np.exp(p, out=p)  # states lie in (-1, 1), so logits stay small
-        p *= (1 / (count * p.sum(axis=1, dtype=np.float32)))[:, None]
-        p[np.arange(len(goal)), goal] -= np.float32(1 / count)
+        p *= (weight / p.sum(axis=1, dtype=np.float32))[:, None]
+        p[np.arange(len(goal)), goal] -= weight
         grads["w"], grads["b"] = stacked.T @ p, p.sum(axis=0)
         out = p @ net.w.T
         ends = np.cumsum([len(x[-1]) for x in kept])
@@ -161,7 +187,9 @@ def train(net: Network, docs: list[np.ndarray], steps: int = STEPS, lanes: int =
             grads["u"][:, : 2 * k] += before.T @ gates[i][:, : 2 * k]
             grads["u"][:, 2 * k :] += rh.T @ dc
             carry = d * (1 - z) + drh * r + gates[i][:, : 2 * k] @ net.u[:, : 2 * k].T
-            carry = np.where(first[begin + i, : len(carry), None], np.float32(0), carry)
+            fresh = first[begin + i, : len(carry)]
+            if fresh.any():
+                carry = np.where(fresh[:, None], np.float32(0), carry)
         gate = np.concatenate(gates)
         grads["bias"] = gate.sum(axis=0)
         source = np.concatenate([inputs[t, : width[t]] for t in window])
@@ -169,6 +197,7 @@ def train(net: Network, docs: list[np.ndarray], steps: int = STEPS, lanes: int =
         at = np.flatnonzero(np.r_[True, source[by][1:] != source[by][:-1]])
         grads["x"][source[by][at]] = np.add.reduceat(gate[by], at)
         state["n"] += 1
+        state["tokens"] += len(goal)
         fix = np.sqrt(1 - 0.999 ** state["n"]) / (1 - 0.9 ** state["n"])
         for n in net.NAMES:
             m, v, g = state[f"m{n}"], state[f"v{n}"], grads[n]

@@ -198,6 +198,31 @@ def test_network_gradients_and_order():
     assert gru.score(net, cycle).sum() > 0.3 * before
 
 
+@pytest.mark.parametrize("lengths", [[200] * 20, [5000], [3000] + [20] * 50, [1], [7, 1, 1]])
+def test_training_covers_all_tokens(lengths):
+    r = np.random.default_rng(3)
+    docs = [r.integers(1, 4, n).astype(np.int32) for n in lengths]
+    docs[0][-max(1, lengths[0] // 3) :] = 4  # the end of the longest text
+    net = gru.Network(5, 4)
+    before = net.x[4].copy()
+    state = gru.train(net, docs)
+    assert lengths[0] == 1 or (net.x[4] != before).all()  # a class that no learned input shows would stay
+    assert state["tokens"] == sum(lengths)
+    assert gru.train(net, docs, state=state)["tokens"] == 2 * sum(lengths)
+
+
+def test_pieces_begin_with_the_state_before_them():
+    r = np.random.default_rng(4)
+    net, doc = gru.Network(6, 4), r.integers(1, 6, 400).astype(np.int32)
+    states, h = [np.zeros((1, 4), np.float32)], np.zeros((1, 4), np.float32)
+    for x in np.r_[gru.START, doc[:-1]]:
+        h = net.step(h, np.array([x]))[-1]
+        states.append(h)
+    for size in (16, 64, 96):
+        cuts = [(0, a) for a in range(0, 400, size)]
+        assert np.allclose(gru.first_states(net, [doc], cuts, size), np.concatenate([states[a] for _, a in cuts]), atol=1e-2 if size > 16 else 0.3)
+
+
 def test_gradient_by_differences():
     r = np.random.default_rng(1)
     docs = [r.integers(1, 5, 8).astype(np.int32) for _ in range(8)]
