@@ -198,6 +198,12 @@ def test_network_gradients_and_order():
     assert gru.score(net, cycle).sum() > 0.3 * before
 
 
+def test_language_model_has_all_its_classes(spark):
+    rows = spark.createDataFrame([(f"{a}{b}{c}".encode(), 1) for a in "abcdefgh" for b in "stuvwxyz" for c in "klm"], "word binary, n long")
+    classes = lm_scoring.choose_classes(rows)
+    assert (len(classes.own), len(classes.endings)) == (40 + 1, 48)  # and the end token
+
+
 @pytest.mark.parametrize("lengths", [[200] * 20, [5000], [3000] + [20] * 50, [1], [7, 1, 1]])
 def test_training_covers_all_tokens(lengths):
     r = np.random.default_rng(3)
