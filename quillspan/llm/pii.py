@@ -13,7 +13,7 @@ ssn        ddd-dd-dddd with a valid area, group and serial; permuted among valid
 date       yyyy-mm-dd or yyyy/mm/dd, a day of 1800-2199 that exists; permuted among those 146,097 days
 phone      ten digits with separators or brackets, with or without +1; all ten digits permuted
 card       13 to 19 digits with a right Luhn sum; permuted, with a new check digit
-secret     the quoted hexadecimal value of a token, secret, key or password; digits from a keyed hash
+secret     the quoted hexadecimal value of a token, secret, key or password, in either case; digits from a keyed hash
 =========  =================================================================================================
 
 Candidates that fail their check stay as they are. Defined results: a null text stays null, with counts of 0; repeated rows
@@ -37,7 +37,7 @@ PATTERNS = {
     "date": r"(?<![\d/-])\d{4}(?:-\d{2}-|/\d{2}/)\d{2}(?![\d/-])",
     "phone": r"(?<![\d+])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\d])",
     "card": r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-])",
-    "secret": r"(?<=(?:token|secret|key|password) ?[=:] ?\")[0-9a-f]{16,128}(?=\")",
+    "secret": r"(?<=(?i:token|secret|key|password) ?[=:] ?\")[0-9A-Fa-f]{16,128}(?=\")",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
@@ -98,13 +98,13 @@ def _pseudonyms(key: str) -> dict[str, str]:
     body = f"left({only}, char_length({only}) - 1)"
     card = f"if({_luhn(only, True)} % 10 <> 0, null, " + _let(digits(body, "card", key), "f", _refill("m", f"concat(f, pmod(-{_luhn('f', False)}, 10))")) + ")"
     email = f"concat(left(sha2(concat_ws('|', {_quoted(key)}, 'email', lower(m)), 256), 16), '@pii.invalid')"
-    secret = f"left(concat(sha2(concat_ws('|', {_quoted(key)}, 'secret', m), 256), sha2(concat_ws('|', {_quoted(key)}, 'secret2', m), 256)), char_length(m))"
+    secret = f"left(concat(sha2(concat_ws('|', {_quoted(key)}, 'secret', lower(m)), 256), sha2(concat_ws('|', {_quoted(key)}, 'secret2', lower(m)), 256)), char_length(m))"
     return {"email": email, "ip": ip, "ssn": ssn, "date": date, "phone": phone, "card": card, "secret": secret}
 
 
 #: The kind of a match from its form; the alternatives exclude one another, so the order decides nothing.
 _KIND = r"""case when contains(m, '@') then 'email' when m rlike '^[0-9]{1,3}([.][0-9]{1,3}){3}$' then 'ip' when m rlike '^[0-9]{3}-[0-9]{2}-[0-9]{4}$' then 'ssn'
-    when m rlike '^[0-9]{4}(-[0-9]{2}-|/[0-9]{2}/)[0-9]{2}$' then 'date' when before rlike '(?:token|secret|key|password) ?[=:] ?\"$' then 'secret'
+    when m rlike '^[0-9]{4}(-[0-9]{2}-|/[0-9]{2}/)[0-9]{2}$' then 'date' when before rlike '(?i:token|secret|key|password) ?[=:] ?\"$' then 'secret'
     when char_length(regexp_replace(m, '[^0-9]', '')) between 10 and 11 then 'phone' else 'card' end"""
 
 

@@ -296,6 +296,15 @@ def test_clashing_columns(spark):
     assert chat.format_chats(rows.selectExpr("doc_id as conv_id", "1 as turn", "'user' as role", "text", "x as part", "x as k")).count() == 5
 
 
+def test_secrets_in_either_case(spark):
+    value = "9233a8ecf7c5b09fe5949719b6b82bc439e9329b"
+    rows = spark.createDataFrame([(1, f'TOKEN = "{value.upper()}"'), (2, f'token = "{value}"'), (3, f'Key:"{value.upper()}"'), (4, '"PASSWORD" "1234567890ABCDEF"')], "doc_id long, text string")
+    found = {r.doc_id: r for r in pii.pseudonymise(rows).collect()}
+    new = found[2].text[9:-1]
+    assert len(new) == 40 and new != value and [found[i].n_secret for i in (1, 2, 3, 4)] == [1, 1, 1, 0]
+    assert (found[1].text, found[3].text, found[4].text) == (f'TOKEN = "{new}"', f'Key:"{new}"', '"PASSWORD" "1234567890ABCDEF"')
+
+
 def test_pseudonyms_are_one_to_one(spark):
     rows = spark.range(3000).selectExpr("id as doc_id", "concat('1.2.', id div 256, '.', id % 256, ' ', date_add(date'1950-01-01', cast(id as int))) as text")
     found = [r.text.split(" ") for r in pii.pseudonymise(rows).collect()]
