@@ -15,6 +15,8 @@ __all__ = ["materialise"]
 
 #: Bytes in one Arrow batch: what a Python worker holds of whole texts at a time.
 ARROW_BYTES = 4 << 20
+#: Bytes of input that one file of a result stands for.
+FILE_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,8 +43,9 @@ def local_rows(spark: SparkSession, rows: list[tuple], columns: dict[str, str])
 
 
 def partitions(df: DataFrame) -> int:
-    """How many partitions a scanned table has; results get as many files, so their number follows the input."""
-    return max(1, df.rdd.getNumPartitions())
+    """How many files a result gets: as many as the scanned table has partitions, but no more than its size in ``FILE_BYTES`` or the cores."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(1, min(df.rdd.getNumPartitions(), max(df.sparkSession.sparkContext.defaultParallelism, -(-size // FILE_BYTES))))
 
 
 def spare(df: DataFrame, name: str) -> str:
