@@ -1,4 +1,7 @@
-"""A gated recurrent network over classes of tokens, in numpy: truncated backpropagation through time and scoring.
+"""A gated recurrent network over words and groups of words ("cells"), in numpy: truncated backpropagation through time and scoring.
+
+Cells are numbered class by class, ``WIDTH`` numbers a class. The output is factored: a softmax over classes, and within the class a
+softmax over its cells, both from the state. The input is the cell before, so a frequent word, which has a cell of its own, is seen as itself.
 
 Many documents run side by side in lanes; a lane holds documents one after another, the state is carried from window to window and
 begins anew with each document. For training, documents longer than a lane's share are cut into pieces that run in several lanes, so
@@ -9,27 +12,41 @@ from __future__ import annotations
 
 import numpy as np
 
-HIDDEN, STEPS, LANES, RATE = 16, 16, 256, 0.02
+HIDDEN, STEPS, LANES, RATE, WIDTH = 16, 16, 512, 0.02, 64
+#: ``x`` and ``v``, of which a window touches part, are learned with Adagrad at this rate; the others with Adam.
+SPARSE_RATE, DENSE = 0.4, ("u", "bias", "w")
 WARM = 64  # tokens before a later piece from which its first state comes
-START = 0  # class that stands before a document's first token; never predicted
+SCORED = 1 << 12  # states for which outputs are computed at a time
+NOWHERE = -30.0  # logit of numbers that stand for no cell
 
 
 class Network:
-    """Input and output are class numbers; ``x`` holds each class's contribution to the gates, so an input costs a lookup."""
+    """``x``: each cell's contribution to the gates, so an input costs a lookup; its last row stands before a document's first token.
+
+    ``w``: states (and a constant) to classes; ``v``: for each class, states (and a constant) to its cells.
+    """
 
-    NAMES = ("x", "u", "bias", "w", "b")
+    NAMES = ("x", "u", "bias", "w", "v")
 
     def __init__(self, classes: int, hidden: int = HIDDEN, seed: int = 7):
         r = np.random.default_rng(seed)
-        self.classes, self.hidden = classes, hidden
-        self.x = r.normal(0, 0.3, (classes, 3 * hidden)).astype(np.float32)
+        self.classes, self.hidden, self.start = classes, hidden, classes * WIDTH
+        self.x = r.normal(0, 0.2, (self.start + 1, 3 * hidden)).astype(np.float32)
         self.u = r.normal(0, 1 / np.sqrt(hidden), (hidden, 3 * hidden)).astype(np.float32)
         self.bias = np.zeros(3 * hidden, np.float32)
-        self.w = r.normal(0, 0.1, (hidden, classes)).astype(np.float32)
-        self.b = np.zeros(classes, np.float32)
+        self.w = np.r_[r.normal(0, 0.1, (hidden, classes)), np.zeros((1, classes))].astype(np.float32)
+        self.v = np.zeros((classes, hidden + 1, WIDTH), np.float32)
+
+    def begin_with(self, mass: np.ndarray) -> None:
+        """Without a state, outputs follow the training counts of the cells (negative: no such cell)."""
+        m = np.maximum(mass, 0).reshape(self.classes, WIDTH) + 1.0
+        m[mass.reshape(m.shape) < 0] = 0
+        with np.errstate(divide="ignore"):
+            self.v[:, -1] = np.maximum(np.log(m / m.sum(axis=1, keepdims=True)), NOWHERE)
+        self.w[-1] = np.log(m.sum(axis=1) / m.sum())
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([getattr(self, n).ravel() for n in self.NAMES]).astype(np.float64)
+        return np.concatenate([getattr(self, n).ravel() for n in self.NAMES])
 
     @classmethod
     def of(cls, flat: np.ndarray, classes: int, hidden: int = HIDDEN) -> Network:
@@ -69,7 +86,7 @@ def lanes_of(lengths: np.ndarray, lanes: int) -> list[list[int]]:
     return out
 
 
-def grid(docs: list[np.ndarray], lanes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[list[int]]]:
+def grid(docs: list[np.ndarray], lanes: int, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[list[int]]]:
     """(targets, inputs, first, width by step, lanes) as time x lane arrays; lanes in falling order of length, so those still running come first."""
     lengths = np.array([len(d) for d in docs])
     dealt = lanes_of(lengths, lanes)
@@ -83,19 +100,46 @@ def grid(docs: list[np.ndarray], lanes: int) -> tuple[np.ndarray, np.ndarray, np
         first[np.r_[0, np.cumsum(lengths[own])[:-1]], i] = True
     inputs = np.zeros_like(targets)
     inputs[1:] = targets[:-1]
-    inputs[first] = START
+    inputs[first] = start
     width = np.searchsorted(-sizes, -np.arange(len(targets)), side="left")
     return targets, inputs, first, width, dealt
 
 
-def score(net: Network, docs: list[np.ndarray], lanes: int = 4 * LANES) -> np.ndarray:
-    """log10 probability of each document's class sequence (documents must not be empty)."""
+def by_class(states: np.ndarray, goal: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+    """(order by the goal's class, states and a constant in that order, runs as (class, first, end))."""
+    cls = goal // WIDTH
+    order = np.argsort(cls.astype(np.int16), kind="stable")
+    ends = np.cumsum(np.bincount(cls, minlength=classes)).tolist()
+    runs = [(c, a, b) for c, (a, b) in enumerate(zip([0, *ends[:-1]], ends, strict=True)) if b > a]
+    ones = np.empty((len(goal), states.shape[1] + 1), np.float32)
+    ones[:, :-1] = states[order]
+    ones[:, -1] = 1
+    return order, ones, runs
+
+
+def log_outputs(net: Network, states: np.ndarray, goal: np.ndarray) -> np.ndarray:
+    """Natural logarithm of the probability of each goal, given the state before it."""
+    order, ones, runs = by_class(states, goal, net.classes)
+    rows, sorted_ = np.arange(len(goal)), goal[order]
+    outer, inner = ones @ net.w, np.empty((len(goal), WIDTH), np.float32)
+    for c, a, b in runs:
+        np.matmul(ones[a:b], net.v[c], out=inner[a:b])
+    picked = outer[rows, sorted_ // WIDTH] + inner[rows, sorted_ % WIDTH]
+    np.exp(outer, out=outer)
+    np.exp(inner, out=inner)
+    out = np.empty(len(goal), np.float32)
+    out[order] = picked - np.log(outer.sum(axis=1) * inner.sum(axis=1))
+    return out
+
+
+def score(net: Network, docs: list[np.ndarray], lanes: int = LANES) -> np.ndarray:
+    """log10 probability of each document's sequence of cells (documents must not be empty)."""
     if not docs:
         return np.empty(0)
-    targets, inputs, first, width, dealt = grid(docs, lanes)
+    targets, inputs, first, width, dealt = grid(docs, lanes, net.start)
     found = np.zeros(targets.shape, np.float32)
     h = np.zeros((targets.shape[1], net.hidden), np.float32)
-    rows = np.arange(targets.shape[1])
+    held, since, n_held = [], 0, 0
     for t in range(len(targets)):
         n = width[t]
         h = h[:n]
@@ -103,11 +147,14 @@ def score(net: Network, docs: list[np.ndarray], lanes: int = 4 * LANES) -> np.nd
         if fresh.any():
             h = np.where(fresh[:, None], np.float32(0), h)
         h = net.step(h, inputs[t, :n])[-1]
-        logits = h @ net.w
-        logits += net.b
-        picked = logits[rows[:n], targets[t, :n]]
-        np.exp(logits, out=logits)
-        found[t, :n] = picked - np.log(logits.sum(axis=1))
+        held.append(h)
+        n_held += n
+        if n_held >= SCORED or t == len(targets) - 1:
+            logs = log_outputs(net, np.concatenate(held), np.concatenate([targets[i, : width[i]] for i in range(since, t + 1)]))
+            ends = np.cumsum([len(x) for x in held])
+            for i, x in zip(range(since, t + 1), np.split(logs, ends[:-1]), strict=True):
+                found[i, : width[i]] = x
+            held, since, n_held = [], t + 1, 0
     out = np.empty(len(docs))
     for i, own in enumerate(dealt):
         ends = np.cumsum([len(docs[d]) for d in own])
@@ -122,7 +169,7 @@ def first_states(net: Network, docs: list[np.ndarray], cuts: list[tuple[int, int
     later = [i for i, (_, a) in enumerate(cuts) if a]
     if not later:
         return out
-    before = np.stack([docs[d][a - 1 - span : a - 1] if a > span else np.r_[START, docs[d][: a - 1]] for d, a in (cuts[i] for i in later)])
+    before = np.stack([docs[d][a - 1 - span : a - 1] if a > span else np.r_[net.start, docs[d][: a - 1]] for d, a in (cuts[i] for i in later)])
     h = out[later]
     for t in range(span):
         h = net.step(h, before[:, t])[-1]
@@ -131,7 +178,7 @@ def first_states(net: Network, docs: list[np.ndarray], cuts: list[tuple[int, int
 
 
 def train(net: Network, docs: list[np.ndarray], steps: int = STEPS, lanes: int = LANES, rate: float = RATE, state: dict | None = None) -> dict:
-    """One pass over all tokens of the documents with Adam; changes ``net``, returns the optimiser's state.
+    """One pass over all tokens of the documents; changes ``net``, returns the optimiser's state.
 
     A token weighs the same in every window of a call. ``tokens`` of the state counts what was learned from.
     """
@@ -141,15 +188,15 @@ def train(net: Network, docs: list[np.ndarray], steps: int = STEPS, lanes: int =
     lanes = int(min(lanes, max(8, tokens // (steps * 12))))
     size = -(-tokens // (lanes * steps)) * steps
     cuts = [(d, a) for d, x in enumerate(docs) for a in range(0, len(x), size)]
-    targets, inputs, first, width, dealt = grid([docs[d][a : a + size] for d, a in cuts], lanes)
+    targets, inputs, first, width, dealt = grid([docs[d][a : a + size] for d, a in cuts], lanes, net.start)
     number = np.zeros(first.shape, np.int32)
     for i, own in enumerate(dealt):
         number[first[:, i], i] = own
-    inputs[first] = np.array([docs[d][a - 1] if a else START for d, a in cuts], np.int32)[number[first]]
+    inputs[first] = np.array([docs[d][a - 1] if a else net.start for d, a in cuts], np.int32)[number[first]]
     starts = first_states(net, docs, cuts, size)
     weight = np.float32(1 / (targets.shape[1] * min(steps, len(targets))))
     k = net.hidden
-    state = state or {"n": 0, "tokens": 0, **{f"{m}{n}": np.zeros_like(getattr(net, n)) for m in "mv" for n in net.NAMES}}
+    state = state or {"n": 0, "tokens": 0, **{f"v{n}": np.zeros_like(getattr(net, n)) for n in net.NAMES}, **{f"m{n}": np.zeros_like(getattr(net, n)) for n in DENSE}}
     h = np.zeros((targets.shape[1], k), np.float32)
     for begin in range(0, len(targets), steps):
         window = range(begin, min(begin + steps, len(targets)))
@@ -162,16 +209,25 @@ def train(net: Network, docs: list[np.ndarray], steps: int = STEPS, lanes: int =
             z, r, rh, c, new = net.step(h, inputs[t, :n])
             kept.append((h, z, r, rh, c, new))
             h = new
-        grads = {n: np.zeros_like(getattr(net, n)) for n in net.NAMES}
+        grads = {n: np.zeros_like(getattr(net, n)) for n in ("u", "v")}
         stacked = np.concatenate([x[-1] for x in kept])
         goal = np.concatenate([targets[t, : width[t]] for t in window])
-        p = stacked @ net.w
-        p += net.b
-        np.exp(p, out=p)  # states lie in (-1, 1), so logits stay small
-        p *= (weight / p.sum(axis=1, dtype=np.float32))[:, None]
-        p[np.arange(len(goal)), goal] -= weight
-        grads["w"], grads["b"] = stacked.T @ p, p.sum(axis=0)
-        out = p @ net.w.T
+        order, ones, runs = by_class(stacked, goal, net.classes)
+        rows, sorted_ = np.arange(len(goal)), goal[order]
+        p, q = ones @ net.w, np.empty((len(goal), WIDTH), np.float32)
+        for c, i, j in runs:
+            np.matmul(ones[i:j], net.v[c], out=q[i:j])
+        for x, at in ((p, sorted_ // WIDTH), (q, sorted_ % WIDTH)):
+            np.exp(x, out=x)  # states lie in (-1, 1), so logits stay small
+            x *= (weight / x.sum(axis=1, dtype=np.float32))[:, None]
+            x[rows, at] -= weight
+        grads["w"] = ones.T @ p
+        back = p @ net.w[:k].T
+        for c, i, j in runs:
+            np.matmul(ones[i:j].T, q[i:j], out=grads["v"][c])
+            back[i:j] += q[i:j] @ net.v[c, :k].T
+        out = np.empty_like(back)
+        out[order] = back
         ends = np.cumsum([len(x[-1]) for x in kept])
         carry = np.zeros((0, k), np.float32)
         gates = [None] * len(kept)
@@ -195,11 +251,15 @@ def train(net: Network, docs: list[np.ndarray], steps: int = STEPS, lanes: int =
         source = np.concatenate([inputs[t, : width[t]] for t in window])
         by = np.argsort(source, kind="stable")
         at = np.flatnonzero(np.r_[True, source[by][1:] != source[by][:-1]])
-        grads["x"][source[by][at]] = np.add.reduceat(gate[by], at)
+        touched, slopes = source[by][at], np.add.reduceat(gate[by], at)
+        state["vx"][touched] += slopes * slopes
+        net.x[touched] -= np.float32(SPARSE_RATE) * slopes / (np.sqrt(state["vx"][touched]) + np.float32(1e-8))
         state["n"] += 1
         state["tokens"] += len(goal)
         fix = np.sqrt(1 - 0.999 ** state["n"]) / (1 - 0.9 ** state["n"])
-        for n in net.NAMES:
+        state["vv"] += grads["v"] * grads["v"]
+        net.v -= np.float32(SPARSE_RATE) * grads["v"] / (np.sqrt(state["vv"]) + np.float32(1e-8))
+        for n in DENSE:
             m, v, g = state[f"m{n}"], state[f"v{n}"], grads[n]
             m += 0.1 * (g - m)
             v += 0.001 * (g * g - v)
