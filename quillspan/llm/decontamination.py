@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, small_batches, table
+from .common import materialise, small_batches, spare, table
 from .fm_index import FMIndex
 
 WINDOW = 10
@@ -200,31 +200,38 @@ def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join([*out, raw[at:]]).decode()
 
 
-def remove_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without benchmark passages; all rows and columns stay, ``n_chars`` (if there) follows the text."""
-    blocks = list(benchmark_blocks(benchmark))
-    shares = [docs.sparkSession.sparkContext.broadcast(b) for b in blocks]
-    place, schema = docs.columns.index("text"), docs.schema
+def remove_passages(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``docs`` without benchmark passages; all rows and columns stay, ``n_chars`` (if there) follows the text.
+
+    A benchmark of one block is searched and cut in one pass; of more, each block is searched for itself and the spans join the texts.
+    """
+    blocks = benchmark_blocks(benchmark, block_words)
+    first, more = next(blocks), next(blocks, None) is not None
+    columns, place = docs.columns, docs.columns.index("text")
+    if more:
+        own, hash_, key = spare(docs, "_spans"), spare(docs, "_hash"), spare(docs, "_key")
+        found = contamination(docs, benchmark, block_words).filter(F.size("spans") > 0).groupBy(F.col("doc_id").alias(key), F.col("text_hash").alias(hash_)).agg(F.first("spans").alias(own))
+        docs = docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col(key)) & (F.xxhash64("text") == F.col(hash_)), "left").select(*columns, own)
+    else:
+        shared = docs.sparkSession.sparkContext.broadcast(first)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(place).to_pylist()
-            words = [words_of(t) for t in texts]
-            spans: list[list[tuple[int, int]]] = [[] for _ in texts]
-            for s in shares:
-                for own, (found, _) in zip(spans, find(words, s.value), strict=True):
-                    own += found
+            if more:
+                spans = [[(x["first"], x["last"]) for x in s or ()] for s in batch.column(len(columns)).to_pylist()]
+            else:
+                spans = [s for s, _ in find([words_of(t) for t in texts], shared.value)]
             fresh = [t if not s else cut_spans(t, merge(s)) for t, s in zip(texts, spans, strict=True)]
-            columns = list(batch.columns)
-            columns[place] = pa.array(fresh, batch.schema.field(place).type)
-            if "n_chars" in docs_columns:
-                i = docs_columns.index("n_chars")
-                columns[i] = pa.array([n if t is u else len(u or "") for n, t, u in zip(columns[i].to_pylist(), texts, fresh, strict=True)], batch.schema.field(i).type)
-            yield pa.RecordBatch.from_arrays(columns, names=docs_columns)
-
-    docs_columns = docs.columns
+            out = list(batch.columns)[: len(columns)]
+            out[place] = pa.array(fresh, batch.schema.field(place).type)
+            if "n_chars" in columns:
+                i = columns.index("n_chars")
+                out[i] = pa.array([n if t is u else len(u or "") for n, t, u in zip(out[i].to_pylist(), texts, fresh, strict=True)], batch.schema.field(i).type)
+            yield pa.RecordBatch.from_arrays(out, names=columns)
+
     small_batches(docs.sparkSession)
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, docs.select(*columns).schema)
 
 
 def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
