@@ -1,13 +1,21 @@
 """SimHash near-duplicates by pigeonhole blocks (operator 2).
 
-A fingerprint's 64 bits are cut into six blocks. Two fingerprints that differ in at most four bits differ in at most
-four blocks, so at least two blocks are equal: with one key for each of the 15 pairs of blocks, every close pair shares a
-key. Equal fingerprints are first merged; members of a key are verified by Hamming distance, and each bucket gives only
-the edges of a spanning forest, never all its pairs. A bucket of more than ``CHUNK`` fingerprints is split into chunks and every
-pair of chunks verified by a task of its own, so no task holds more than ``2 * CHUNK`` fingerprints.
+A fingerprint's 64 bits are cut into blocks. Two fingerprints that differ in at most four bits differ in at most four blocks,
+so at least two of six blocks are equal: with one key for each of the 15 pairs of blocks, every close pair shares a key. Larger
+tables take seven blocks and keys of three, or eight and keys of four, so that keys grow with the table and buckets don't. Equal
+fingerprints are first merged; members of a key are verified by Hamming distance, and each bucket gives only the edges of a spanning
+forest, never all its pairs. A bucket of more than ``CHUNK`` fingerprints is split into chunks and every pair of chunks verified
+by a task of its own, so no task holds more than ``2 * CHUNK`` fingerprints.
+
+``drop_near_duplicates`` looks for similarity instead: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or
+more. Their fingerprints have 1024 bits over the different shingles of a text. Pairs that share two of six blocks in one of the first
+``BLOCKED`` words of 64 bits are verified by the Hamming distance of the first ``CHECKED`` words, then of all. What differs in so few
+bits that the similarity is certain is linked; for pairs near the limit the sets themselves decide. So no link is below 0.8; the
+blocks find most pairs above, not all: README has the measured recall.
 
 Defined results: null, empty and blank texts have fingerprint zero and are linked like any other; fewer words than a shingle
-give one shingle of all words; repeated rows are linked like copies; extra columns are ignored.
+give one shingle of all words; rows that repeat a doc_id are one node, of which every fingerprint links; rows without a doc_id
+link like any other, and have a null component where no row of theirs has a doc_id (below 2**62); extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -17,34 +25,62 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialise, partitions, small_batches, spare, table
 from .components import FILE_ROWS, components
 
 SHINGLE, SEED, MAX_BITS = 4, 42, 4
-#: First bit and width of each block.
-BLOCKS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))
+#: For similarity: words of a shingle, 64-bit words of a fingerprint, how many of them give keys and how many are checked in a bucket.
+SIMILAR_SHINGLE, WIDE, BLOCKED, CHECKED = 5, 16, 6, 4
+#: Bits in which pairs may differ in a bucket and in all words, and up to which they are similar without doubt. Sets with a similarity
+#: of 0.8 have an angle with a cosine of 8/9, so they differ in 0.1515 of the bits: 39 of 256 and 155 of 1024, with deviations of 6 and 11.5.
+CHECKED_BITS, WIDE_BITS, SURE_BITS = 51, 190, 110
+#: Fingerprints in a table from which on it takes one block more.
+MORE_BLOCKS = (1 << 24, 1 << 30)
 CHUNK, SMALL = 4096, 24
+#: Fingerprints a task multiplies by their keys.
+SPREAD_ROWS = 1 << 16
+#: Fingerprints of rows without a doc_id go by numbers from here on.
+NO_ID = 2**62
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """Unsigned 64-bit SimHash of a whole text; shingles weigh as often as they occur."""
+def shingle_hashes(text: str | None, shingle: int, seed: int) -> np.ndarray:
+    """Unsigned hashes of all shingles of a whole text, repeats included."""
     import xxhash
 
     words = (text or "").encode().translate(_LOWER).split()
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     line, n = b" ".join(words), max(1, len(words) - shingle + 1)
     starts = [0]
     for w in words:
         starts.append(starts[-1] + len(w) + 1)
     digest = xxhash.xxh64_intdigest
     k = min(shingle, len(words))
-    hashes = np.fromiter((digest(line[a : b - 1], seed) for a, b in zip(starts[:n], starts[k:], strict=True)), np.uint64, n)
-    return majority(hashes)
+    return np.fromiter((digest(line[a : b - 1], seed) for a, b in zip(starts[:n], starts[k:], strict=True)), np.uint64, n)
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
+    """Unsigned 64-bit SimHash of a whole text; shingles weigh as often as they occur."""
+    hashes = shingle_hashes(text, shingle, seed)
+    return majority(hashes) if len(hashes) else 0
+
+
+def wide_fingerprint(text: str | None, shingle: int = SIMILAR_SHINGLE, seed: int = SEED, words: int = WIDE) -> np.ndarray:
+    """SimHash of 64 * ``words`` bits over the different shingles of a whole text, as unsigned 64-bit words."""
+    hashes = np.unique(shingle_hashes(text, shingle, seed))
+    ones = np.zeros(64 * words, np.int64)
+    steps = np.arange(words, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for i in range(0, len(hashes), 255):  # so that a byte counts a block
+        h = hashes[i : i + 255, None] + steps
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        h ^= h >> np.uint64(31)
+        ones += np.unpackbits(h.astype("<u8").view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint8)
+    return np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")
 
 
 def majority(hashes: np.ndarray) -> int:
@@ -68,16 +104,36 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> D
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
-def block_keys() -> list:
-    """One key per pair of blocks: the pair's number above the bits of both blocks."""
-    def part(block):
-        first, width = block
-        return F.shiftrightunsigned("fp", first).bitwiseAND((1 << width) - 1)
+def wide_fingerprints(docs: DataFrame) -> DataFrame:
+    """(doc_id, hash, w0 .. w15) as signed longs, the hash of the whole text; one pass over the texts (doc_id, text)."""
+    names = [f"w{i}" for i in range(WIDE)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.array([wide_fingerprint(t) for t in batch.column(2).to_pylist()], np.uint64).reshape(-1, WIDE).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(np.ascontiguousarray(c)) for c in found.T)], ["doc_id", "hash", *names])
+
+    small_batches(docs.sparkSession)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), "text")
+    return rows.mapInArrow(run, "doc_id long, hash long, " + ", ".join(f"{n} long" for n in names))
 
-    return [
-        F.shiftleft(part(b), a[1]).bitwiseOR(part(a)).bitwiseOR(F.lit(i << 24).cast("long"))
-        for i, (a, b) in enumerate(combinations(BLOCKS, 2))
-    ]
+
+def blocks(n: int) -> list[tuple[int, int]]:
+    """First bit and width of ``n`` blocks of 64 bits."""
+    cuts = [64 * i // n for i in range(n + 1)]
+    return [(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def block_keys(n: int = 6, bits: int = MAX_BITS, word: str | Column = "fp") -> list[Column]:
+    """One key per choice of the ``n - bits`` blocks that a close pair shares at least: the choice's number above the bits of its blocks."""
+    out = []
+    for i, chosen in enumerate(combinations(blocks(n), n - bits)):
+        key, at = F.lit(i << 40).cast("long"), 0
+        for start, width in chosen:
+            key = key.bitwiseOR(F.shiftleft(F.shiftrightunsigned(word, start).bitwiseAND((1 << width) - 1), at))
+            at += width
+        out.append(key)
+    return out
 
 
 class Forest:
@@ -103,14 +159,14 @@ class Forest:
 def bucket_edges(fps: np.ndarray, bits: int = MAX_BITS) -> list[tuple[int, int]]:
     """Spanning-forest edges (local indices) of the links within one bucket, by breadth-first search over unvisited members.
 
-    Each member is compared once with those not yet reached, so a bucket of close copies takes few steps.
+    ``fps``: one row per word of the fingerprints. Each member is compared once with those not yet reached, so a bucket of close copies takes few steps.
     """
-    out, rest = [], np.arange(len(fps))
+    out, rest = [], np.arange(fps.shape[1])
     while len(rest) > 1:
         front, rest = [rest[0]], rest[1:]
         while front and len(rest):
             x = front.pop()
-            near = np.bitwise_count(fps[rest] ^ fps[x]) <= bits
+            near = _far(fps[:, rest], fps[:, x : x + 1]) <= bits
             if near.any():
                 hit = rest[near]
                 out += [(int(x), int(y)) for y in hit]
@@ -119,25 +175,34 @@ def bucket_edges(fps: np.ndarray, bits: int = MAX_BITS) -> list[tuple[int, int]]
     return out
 
 
-def links(prints: DataFrame, bits: int = MAX_BITS, files: int = 1) -> DataFrame:
-    """Edges (u, v) between representatives ``rep`` of distinct fingerprints (rep, fp) that together connect all close pairs."""
-    keyed = prints.select("rep", "fp", F.explode(F.array(*block_keys())).alias("key"))
+def _far(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of fingerprints with one row per word."""
+    return np.bitwise_count(a ^ b).sum(axis=0, dtype=np.int32)
+
+
+def links(prints: DataFrame, keys: Column, words: tuple[str, ...] = ("fp",), bits: int = MAX_BITS, files: int = 1) -> DataFrame:
+    """Edges (u, v) between representatives ``rep`` of distinct fingerprints (rep, ``words``) that together connect all pairs that share a key and are close.
+
+    With a column ``group``, only edges between different groups.
+    """
+    group = F.col("group") if "group" in prints.columns else F.col("rep")
+    keyed = prints.select("rep", group.alias("group"), *words, F.explode(keys).alias("key"))
     hot = keyed.groupBy("key").count().filter(F.col("count") > CHUNK).select(F.col("key"), F.ceil(F.col("count") / CHUNK).cast("int").alias("parts"))
-    hot = materialise(hot.coalesce(files), "hot-keys")  # at most 15 / CHUNK of the fingerprints
+    hot = materialise(hot.coalesce(files), "hot-keys")  # at most one for CHUNK keys of fingerprints
     marked = keyed.join(hot, "key", "left")
-    mine = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
+    mine = F.pmod(F.xxhash64(*words), F.col("parts")).cast("int")
     spread = F.when(F.col("parts").isNull(), F.array(F.lit(0))).otherwise(
         F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.least(mine, j) * F.col("parts") + F.greatest(mine, j))
     )
-    dealt = marked.select("rep", "fp", "key", F.explode(spread).alias("part"))
-    sorted_ = dealt.repartition("key", "part").sortWithinPartitions("key", "part")
+    dealt = marked.select("rep", "key", F.explode(spread).alias("part"), "group", *words)
+    sorted_ = dealt.repartition("key", "part").sortWithinPartitions("key", "part", "rep")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         for batch in batches:
-            now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
             held = [np.concatenate(x) for x in zip(held, now, strict=True)] if held else now
-            last = (held[2] == held[2][-1]) & (held[3] == held[3][-1])
+            last = (held[1] == held[1][-1]) & (held[2] == held[2][-1])
             cut = int(np.argmax(last))  # sorted, so the last bucket begins at its first row
             if cut:
                 yield _edges_of([x[:cut] for x in held], bits)
@@ -150,8 +215,8 @@ def links(prints: DataFrame, bits: int = MAX_BITS, files: int = 1) -> DataFrame:
 
 def _edges_of(columns: list[np.ndarray], bits: int) -> pa.RecordBatch:
     """Edges of whole buckets, which stand one after another: small ones by shifted comparison, others one by one."""
-    rep, fp, key, part = columns
-    fp = fp.view(np.uint64)
+    rep, key, part, group = columns[:4]
+    fp = np.array(columns[4:]).view(np.uint64)
     starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (part[1:] != part[:-1])])
     sizes = np.diff(np.r_[starts, len(key)])
     size_of = np.repeat(sizes, sizes)
@@ -162,42 +227,112 @@ def _edges_of(columns: list[np.ndarray], bits: int) -> pa.RecordBatch:
         i, j = small[:-shift], small[shift:]
         keep = bucket[i] == bucket[j]
         i, j = i[keep], j[keep]
-        near = np.bitwise_count(fp[i] ^ fp[j]) <= bits
+        near = (_far(fp[:, i], fp[:, j]) <= bits) & (group[i] != group[j])
         us.append(rep[i[near]])
         vs.append(rep[j[near]])
     for s in np.flatnonzero(sizes > SMALL):
         own = slice(starts[s], starts[s] + sizes[s])
-        if found := bucket_edges(fp[own], bits):
+        if found := bucket_edges(fp[:, own], bits):
             i, j = np.array(found).T
-            us.append(rep[own][i])
-            vs.append(rep[own][j])
+            apart = group[own][i] != group[own][j]
+            us.append(rep[own][i[apart]])
+            vs.append(rep[own][j[apart]])
     u, v = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (us, vs))
     return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, fp (signed long), component_id for every row of ``docs`` (doc_id, text)."""
-    if bits > len(BLOCKS) - 2:
-        raise ValueError("six blocks guarantee two equal blocks for at most four differing bits")
+def _spread(df: DataFrame, rows: int, key: str) -> DataFrame:
+    """Deal a small table to enough tasks that multiplying its rows is shared."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, rows // SPREAD_ROWS), key)
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, bits: int = MAX_BITS, n_blocks: int | None = None) -> DataFrame:
+    """doc_id, fp (signed long), component_id for every row of ``docs`` (doc_id, text); ``n_blocks``: by the table's size unless given."""
     prints = materialise(fingerprints(docs, shingle, seed), "fingerprints")
-    files = 1 + prints.count() // FILE_ROWS  # small tables get few files
-    distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")).coalesce(files), "distinct-fingerprints")
-    roots = components(links(distinct, bits, files), files)
+    n = prints.count()
+    files = 1 + n // FILE_ROWS  # small tables get few files
+    rep = F.coalesce(F.min("doc_id"), F.shiftrightunsigned("fp", 2) + F.lit(NO_ID)).alias("rep")
+    distinct = materialise(prints.groupBy("fp").agg(rep).coalesce(files), "distinct-fingerprints")
+    n_blocks = n_blocks or bits + 2 + sum(n >= m for m in MORE_BLOCKS)
+    roots = components(links(_spread(distinct, n, "fp"), F.array(*block_keys(n_blocks, bits)), bits=bits, files=files), files)
     classes = distinct.join(roots, distinct.rep == roots.node, "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
+    classes = classes.withColumn("component_id", F.expr(f"if(component_id < {NO_ID}, component_id, null)"))
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
-    """One document of each group, the one with the smallest doc_id, with all its columns.
+def shingle_sets(rows: DataFrame) -> DataFrame:
+    """(rep, shingles) with the different hashes of each text's shingles, of rows (rep, text)."""
 
-    Rows that repeat that id leave one; rows with a null doc_id stand for no group and go.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.unique(shingle_hashes(t, SIMILAR_SHINGLE, SEED)).view(np.int64) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["rep", "shingles"])
+
+    return rows.mapInArrow(run, "rep long, shingles array<long>")
+
+
+def similar_groups(docs: DataFrame) -> DataFrame:
+    """(doc_id, hash, group) of every row of ``docs`` (doc_id, text): rows that similar texts connect have the same number as group."""
+    names = [f"w{i}" for i in range(WIDE)]
+    prints = materialise(wide_fingerprints(docs), "wide-fingerprints")
+    n, files = prints.count(), partitions(docs)
+    # a fingerprint goes by its smallest doc_id; by a number below all those where it has none or shares it with another fingerprint
+    distinct = prints.groupBy(names).agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("hash"))).alias("row")).select("row.doc_id", "row.hash", *names)
+    alone = F.count("*").over(Window.partitionBy("doc_id")) == 1
+    own = F.when(F.col("doc_id").isNotNull() & alone, F.col("doc_id")).otherwise(F.shiftrightunsigned(F.xxhash64(*names), 2) + F.lit(-(2**63)))
+    distinct = materialise(distinct.withColumn("rep", own).coalesce(files), "distinct-fingerprints")
+    # the first word's blocks connect most of a large group of close copies; the others are then searched for what they connect beyond that
+    groups = None
+    for words in (range(1), range(1, BLOCKED)):
+        known = distinct.select("rep", *names[:BLOCKED], F.col("rep").alias("group"))
+        if groups is not None:
+            known = materialise(known.drop("group").join(groups, known.rep == groups.node, "left").select("rep", *names[:BLOCKED], F.coalesce("root", "rep").alias("group")).coalesce(files), "known")
+        # written once for all words: a plan with an expression for each word and key takes much of the driver's memory
+        keys = F.flatten(F.transform(F.array(*(f"w{i}" for i in words)), lambda w, i: F.array(*(k.bitwiseOR(F.shiftleft(i.cast("long"), 48)) for k in block_keys(6, 4, w)))))
+        found = links(_spread(known, n, "rep"), keys, tuple(names[:CHECKED]), CHECKED_BITS, files).distinct()
+        groups = _connected(docs, distinct, found, groups, files)
+    classes = distinct.join(groups, distinct.rep == groups.node, "left").select(*names, F.coalesce("root", "rep").alias("group"))
+    return prints.join(classes, names).select("doc_id", "hash", "group")
+
+
+def _connected(docs: DataFrame, distinct: DataFrame, found: DataFrame, groups: DataFrame | None, files: int) -> DataFrame:
+    """(node, root) of ``groups`` and those of the candidate pairs ``found`` that are similar."""
+    left, right = (distinct.select(F.col("rep").alias(end), F.array(*(f"w{i}" for i in range(WIDE))).alias(f"{end}_bits")) for end in "uv")
+    far = F.expr("aggregate(zip_with(u_bits, v_bits, (a, b) -> bit_count(a ^ b)), 0, (s, x) -> s + x)")
+    close = found.join(left, "u").join(right, "v").select("u", "v", far.alias("far")).filter(F.col("far") <= WIDE_BITS)
+    close = materialise(close.coalesce(files), "close")
+    sure = close.filter(F.col("far") <= SURE_BITS).select("u", "v")
+    if groups is not None:
+        sure = sure.union(groups.select("node", "root"))
+    surely = components(sure, files)
+    # what is not connected without doubt is decided by the sets
+    ends = [surely.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")) for end in "uv"]
+    doubtful = close.filter(F.col("far") > SURE_BITS).join(ends[0], "u", "left").join(ends[1], "v", "left")
+    doubtful = doubtful.select("u", "v", F.coalesce("u_root", "u").alias("u_root"), F.coalesce("v_root", "v").alias("v_root")).filter("u_root <> v_root")
+    doubtful = materialise(doubtful.coalesce(files), "doubtful")
+    nodes = doubtful.select("u").union(doubtful.select("v")).distinct().withColumnRenamed("u", "rep").join(distinct.select("rep", F.col("doc_id").alias("id"), "hash"), "rep")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("hash"))
+    sets = shingle_sets(docs.select("doc_id", "text").join(nodes, same).select("rep", "text")).groupBy("rep").agg(F.first("shingles").alias("shingles"))
+    sets = materialise(sets.coalesce(files), "shingle-sets")
+    left, right = (sets.select(F.col("rep").alias(end), F.col("shingles").alias(f"{end}_set")) for end in "uv")
+    both = F.size(F.array_intersect("u_set", "v_set"))
+    decided = doubtful.join(left, "u").join(right, "v").filter(5 * both >= 4 * (F.size("u_set") + F.size("v_set") - both))
+    return components(surely.select(F.col("node").alias("u"), F.col("root").alias("v")).union(decided.select("u", "v")), files)
+
+
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """One document of each group of similar texts, the one with the smallest doc_id, with all its columns.
+
+    Rows with the same doc_id and text leave one row. Rows with the same doc_id and different texts are documents of their own; so are
+    rows without a doc_id, which stay only where no row of their group has one. Texts without words are alike.
     """
-    found = near_duplicates(docs, bits=bits)
-    kept, place = spare(docs, "_kept"), spare(docs, "_place")
-    keep = found.filter("doc_id = component_id").select(F.col("doc_id").alias(kept)).distinct()
-    rest = docs.join(keep, docs.doc_id == keep[kept], "left_semi")
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return rest.withColumn(place, F.row_number().over(order)).filter(F.col(place) == 1).drop(place).coalesce(partitions(docs))
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("hash"))).alias("first")
+    kept, hashed, place = spare(docs, "_kept"), spare(docs, "_hashed"), spare(docs, "_place")
+    keep = similar_groups(docs).groupBy("group").agg(first).select(F.coalesce("first.doc_id", F.lit(-(2**63))).alias(kept), F.col("first.hash").alias(hashed))
+    rows = docs.withColumn(kept, F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))).withColumn(hashed, F.xxhash64("text"))
+    rest = rows.join(keep, [kept, hashed], "left_semi")
+    one = F.row_number().over(Window.partitionBy(kept, hashed).orderBy(F.col(hashed)))
+    return rest.withColumn(place, one).filter(F.col(place) == 1).drop(place, kept, hashed).coalesce(partitions(docs))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,9 @@
 import pytest
 from compare import compare
+from test_ops import similar_groups
 
 import corpus_pipeline
-from quillspan.llm import decontamination, pii, quality, simhash
+from quillspan.llm import decontamination, pii, quality
 from quillspan.llm.queries import ORACLES, QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -21,7 +22,7 @@ def test_pipeline_stages_against_brute_force(spark):
     rows = {r.doc_id: r for r in quality.op4_quality(spark, SMALL).collect()}
     assert {r.doc_id for r in kept.collect()} == {k for k, r in rows.items() if r.kept} and kept.columns == columns
     once = corpus_pipeline.near_dedup(spark, kept, SMALL)
-    groups = {r.doc_id: r.component_id for r in simhash.near_duplicates(kept).collect()}
+    groups = similar_groups({r.doc_id: r.text for r in kept.collect()})
     assert sorted(r.doc_id for r in once.collect()) == sorted(set(groups.values())) and once.columns == columns
     clean = corpus_pipeline.decontamination(spark, once, SMALL)
     before, after = ({r.doc_id: r.text for r in df.collect()} for df in (once, clean))

@@ -89,8 +89,85 @@ def test_simhash_groups(spark, docs, empty, texts):
     assert got == {k: (int(prints[i]), ids[forest.find(i)]) for i, k in enumerate(ids)}
     assert got[2][0] == 0 and got[41][1] == 20
     assert simhash.near_duplicates(empty).count() == 0
+
+
+def similar(a, b):
+    """Jaccard similarity of the sets of five-word shingles."""
+    x, y = ({" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := WORD.findall((t or "").lower())) else set() for t in (a, b))
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
+def similar_groups(texts):
+    """The smallest key of each group of texts that pairs with a similarity of 0.8 or more connect."""
+    ids = sorted(texts)
+    forest = simhash.Forest(len(ids))
+    for i in range(len(ids)):
+        for j in range(i):
+            if similar(texts[ids[i]], texts[ids[j]]) >= 0.8:
+                forest.join(i, j)
+    return {k: ids[forest.find(i)] for i, k in enumerate(ids)}
+
+
+def test_similar_texts_leave_one(spark, docs, empty, texts):
+    want = similar_groups(texts)
+    assert want[41] == 20 and want[47] == 20 and want[10] == 10
     kept = simhash.drop_near_duplicates(docs.unionAll(docs))
-    assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, c in got.values()}) and kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values())) and kept.columns == docs.columns
+    assert simhash.drop_near_duplicates(empty).count() == 0
+
+
+def test_similarity_limit_and_recall(spark):
+    """Texts with planted similarities: no pair below 0.8 is joined, nearly all from 0.8 on are; one large group of near copies."""
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    texts, pairs, n = {}, [], 0
+    for i in range(120):
+        a = [word() for _ in range(r.choice([30, 80, 200, 900]))]
+        b = list(a)
+        for at in r.sample(range(len(b)), max(1, round(len(b) * r.choice([0.005, 0.015, 0.02, 0.03, 0.06])))):
+            b[at] = word()
+        texts[n], texts[n + 1] = " ".join(a), " ".join(b)
+        pairs.append((n, n + 1))
+        n += 2
+    near = [word() for _ in range(150)]
+    hot = range(n, n + 150)
+    for k in hot:
+        own = list(near)
+        own[r.randrange(150)] = word()
+        texts[k] = " ".join(own)
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    found = {x.doc_id: x.group for x in simhash.similar_groups(rows).collect()}
+    alike = [similar(texts[a], texts[b]) >= 0.8 for a, b in pairs]
+    linked = [found[a] == found[b] for a, b in pairs]
+    assert not any(x and not y for x, y in zip(linked, alike, strict=True)) and 30 < sum(alike) < 110
+    assert sum(linked) >= 0.85 * sum(alike) and {found[k] for k in hot} == {hot[0]}
+    assert len({found[a] for a, _ in pairs}) == 120
+
+
+def test_near_duplicates_without_or_with_repeated_ids(spark):
+    r = random.Random(13)
+    a, b, c = (" ".join("".join(r.choice("abcdef") for _ in range(5)) for _ in range(60)) for _ in range(3))
+    rows = spark.createDataFrame([(None, a, 1), (None, a, 2), (7, b, 3), (7, c, 4), (7, c, 5), (None, b, 6), (None, None, 7), (9, " ", 8), (None, "x", 9)], "doc_id long, text string, _kept int")
+    kept = simhash.drop_near_duplicates(rows)
+    assert sorted((x.doc_id or 0, x.text) for x in kept.collect()) == sorted([(0, a), (7, b), (7, c), (9, " "), (0, "x")]) and kept.columns == rows.columns
+    got = {(x.doc_id, x.fp, x.component_id) for x in simhash.near_duplicates(rows.drop("_kept")).collect()}
+    signed = lambda t: (f := simhash.fingerprint(t)) - (f >> 63 << 64)
+    assert got == {(None, signed(a), None), (7, signed(b), 7), (7, signed(c), 7), (None, signed(b), 7), (None, 0, 9), (9, 0, 9), (None, signed("x"), None)}
+
+
+@pytest.mark.parametrize("n", [6, 7, 8])
+def test_blocks_find_four_bits_and_not_five(spark, n):
+    r = random.Random(n)
+    rows, want = [], {}
+    for i in range(60):
+        base = r.getrandbits(64)
+        for k, bits in enumerate((0, 4, 5)):
+            f = base ^ sum(1 << b for b in r.sample(range(64), bits))
+            rows.append((3 * i + k, f - (f >> 63 << 64)))
+            want[3 * i + k] = f
+    prints = spark.createDataFrame(rows, "rep long, fp long").repartition(3)
+    found = {(min(x.u, x.v), max(x.u, x.v)) for x in simhash.links(prints, F.array(*simhash.block_keys(n))).collect()}
+    assert found == {(a, b) for a in want for b in want if a < b and (want[a] ^ want[b]).bit_count() <= 4} and (0, 1) in found and (0, 2) not in found
 
 
 def test_simhash_bits_by_definition():
@@ -109,7 +186,7 @@ def test_hot_buckets_are_split(spark, monkeypatch):
     fps = {base ^ sum(1 << b for b in r.sample(range(64), r.choice([1, 2, 4, 9]))) for _ in range(400)}
     rows = [(i, f - 2**64 if f >= 2**63 else f) for i, f in enumerate(sorted(fps))]
     prints = spark.createDataFrame(rows, "rep long, fp long")
-    roots = {x.node: x.root for x in components.components(simhash.links(prints)).collect()}
+    roots = {x.node: x.root for x in components.components(simhash.links(prints, F.array(*simhash.block_keys()))).collect()}
     a = np.array([f for f in sorted(fps)], np.uint64)
     forest = simhash.Forest(len(a))
     for i in range(len(a)):
@@ -173,10 +250,11 @@ def test_quality(docs, empty, texts):
 
 def test_language_model(docs, empty, texts):
     rows = {r.doc_id: r for r in lm_scoring.score_documents(docs, known=50).collect()}
-    counts = Counter(w for k, t in texts.items() if zlib.crc32(str(k).encode()) % 5 != 1 for w in lm_scoring.tokens(t))
+    tokens = lambda t: [*re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in t or "")), ""]
+    counts = Counter(w for k, t in texts.items() if zlib.crc32(str(k).encode()) % 5 != 1 for w in tokens(t))
     n, v = sum(counts.values()), len(counts)
     for k, t in texts.items():
-        own = lm_scoring.tokens(t)
+        own = tokens(t)
         assert rows[k].held_out == (zlib.crc32(str(k).encode()) % 5 == 1) and rows[k].n_tokens == len(own) and rows[k].train_tokens == n
         assert rows[k].n_known == sum(counts[w] > 0 for w in own)
         assert rows[k].base_score == pytest.approx(sum(np.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in own))
@@ -184,10 +262,77 @@ def test_language_model(docs, empty, texts):
     assert lm_scoring.score_documents(empty).count() == 0
 
 
+def test_tokens_in_batches():
+    import pyarrow as pa
+
+    r = random.Random(2)
+    texts = [None, "", " \n\t ", "A b\u00a0c\x1f \x0b d", "É\u2003x  "] + ["".join(r.choice(" \t\nABxyé\x1c\u0085") for _ in range(r.randint(0, 30))) for _ in range(300)]
+    want = [[w.translate({i: i + 32 for i in range(65, 91)}) for w in WORD.findall(t or "")] + [""] for t in texts]
+    words, starts = lm_scoring.tokens(pa.array(texts, pa.string()))
+    assert [words[a:b].to_pylist() for a, b in zip(starts[:-1], starts[1:], strict=True)] == want
+    words, starts = lm_scoring.tokens(pa.array(texts, pa.string()).slice(7, 100))
+    assert [words[a:b].to_pylist() for a, b in zip(starts[:-1], starts[1:], strict=True)] == want[7:107]
+    words, starts = lm_scoring.tokens(pa.array([], pa.string()))
+    assert len(words) == 0 and starts.tolist() == [0]
+
+
+def plain_score(net, doc):
+    """Forward pass of one document, step by step, as the definition has it."""
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    k, h, total, before = net.hidden, np.zeros(net.hidden), 0.0, net.start
+    u, w, v = (x.astype(float) for x in (net.u, net.w, net.v))
+    for cell in doc:
+        a = net.x[before].astype(float) + net.bias
+        z, r = sigmoid(a[:k] + h @ u[:, :k]), sigmoid(a[k : 2 * k] + h @ u[:, k : 2 * k])
+        h = (1 - z) * h + z * np.tanh(a[2 * k :] + (r * h) @ u[:, 2 * k :])
+        outer, inner = np.exp(np.r_[h, 1] @ w), np.exp(np.r_[h, 1] @ v[cell // gru.WIDTH])
+        total += np.log10(outer[cell // gru.WIDTH] / outer.sum() * inner[cell % gru.WIDTH] / inner.sum())
+        before = cell
+    return total
+
+
+def test_scores_equal_a_plain_forward_pass():
+    r = np.random.default_rng(8)
+    net = gru.Network(3, 5)
+    net.begin_with(np.r_[r.integers(0, 50, 150), np.full(42, -1)])
+    net.w += r.normal(0, 0.5, net.w.shape).astype(np.float32)
+    net.v[:, :-1] += r.normal(0, 0.5, net.v[:, :-1].shape).astype(np.float32)
+    docs = [r.integers(0, 150, n).astype(np.int32) for n in (1, 40, 300, 7)]
+    assert np.allclose(gru.score(net, docs, lanes=2), [plain_score(net, d) for d in docs], rtol=1e-4)
+    assert sum(10 ** plain_score(net, [c]) for c in range(192)) == pytest.approx(1)  # probabilities of all cells
+
+
+def test_scores_beat_a_bigram(spark):
+    """Held out, the model beats the base, and on texts that copy no training text a bigram interpolated with the base, too."""
+    rows = lm_scoring.op5_lm_scoring(spark, "/root/testdata/sf0.01").filter("held_out").collect()
+    texts = {r.doc_id: [*r.text.lower().split(), ""] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("text is not null").collect()}
+    held = {r.doc_id for r in rows}
+    ones, pairs, fours = Counter(), Counter(), set()
+    for k, t in texts.items():
+        if k not in held:
+            ones.update(t)
+            pairs.update(zip(["<", *t[:-1]], t, strict=True))
+            fours.update(zip(t, t[1:], t[2:], t[3:], strict=False))
+    n, v, starts = sum(ones.values()), len(ones), Counter()
+    for (a, _), c in pairs.items():
+        starts[a] += c
+    base = lambda w: (ones[w] + 0.5) / (n + 0.5 * (v + 1))
+    two = lambda a, w: 0.5 * base(w) + 0.5 * (pairs[a, w] / starts[a] if starts[a] else base(w))
+    known = lambda t: sum(x in fours for x in zip(t, t[1:], t[2:], t[3:], strict=False))
+    fresh = [r for r in rows if 10 * known(texts[r.doc_id]) < len(texts[r.doc_id])]
+    for own in (rows, fresh):
+        total = sum(r.n_tokens for r in own)
+        bigram = sum(np.log10(two(a, w)) for r in own for a, w in zip(["<", *texts[r.doc_id][:-1]], texts[r.doc_id], strict=True)) / total
+        base_, model = sum(r.base_score for r in own) / total, sum(r.score for r in own) / total
+        print(f"{len(own)} texts: base {base_:.3f}, bigram {bigram:.3f}, model {model:.3f}")
+        assert model > base_ + 0.3 or own is fresh
+    assert len(fresh) > 30 and model > bigram and model > base_
+
+
 def test_network_gradients_and_order():
     r = np.random.default_rng(0)
     docs = [r.integers(1, 6, n).astype(np.int32) for n in (30, 5, 1, 17, 40, 3)]
-    net = gru.Network(6, 4)
+    net = gru.Network(1, 4)
     one = np.array([gru.score(net, [d])[0] for d in docs])
     assert np.allclose(gru.score(net, docs, lanes=2), one, atol=1e-4)  # lanes change nothing; states carry through whole documents
     cycle = [np.array([1, 2, 3, 4, 5] * 8, np.int32) for _ in range(200)]
@@ -198,30 +343,35 @@ def test_network_gradients_and_order():
     assert gru.score(net, cycle).sum() > 0.3 * before
 
 
-def test_language_model_has_all_its_classes(spark):
-    rows = spark.createDataFrame([(f"{a}{b}{c}".encode(), 1) for a in "abcdefgh" for b in "stuvwxyz" for c in "klm"], "word binary, n long")
-    classes = lm_scoring.choose_classes(rows)
-    assert (len(classes.own), len(classes.endings)) == (40 + 1, 48)  # and the end token
+def test_language_model_has_all_its_cells(spark):
+    rows = spark.createDataFrame([(f"{a}{b}{c}{d}", 1) for a in "abcdefgh" for b in "stuvwxyz" for c in "klmnopqrst" for d in "abcdefghijkl"], "word string, n long")
+    cells = lm_scoring.choose_cells(rows, 500, 300, 20)
+    assert (len(cells.own), len(cells.endings), len(cells.number), cells.classes) == (500 + 1, 300, 821, 13)  # and the end token
+    assert sorted(cells.number.values()) == list(range(821)) and {cells.of(w) for w in cells.own} | {cells.of("x" + e) for e in cells.endings} <= set(range(821))
+    import pyarrow as pa
+
+    words = [*cells.own[:50], "", "é", "日本語!", "...", "\"|", "xé日a)", "ab", *(f"{a}{b}" for a in ("q", "éé", "stk") for b in (*cells.endings[:40], "zz.", ""))]
+    assert cells.numbers(pa.array(words)).tolist() == [cells.of(w) for w in words] and len(cells.numbers(pa.array([], pa.string()))) == 0
 
 
 @pytest.mark.parametrize("lengths", [[200] * 20, [5000], [3000] + [20] * 50, [1], [7, 1, 1]])
 def test_training_covers_all_tokens(lengths):
     r = np.random.default_rng(3)
     docs = [r.integers(1, 4, n).astype(np.int32) for n in lengths]
-    docs[0][-max(1, lengths[0] // 3) :] = 4  # the end of the longest text
-    net = gru.Network(5, 4)
-    before = net.x[4].copy()
+    docs[0][-max(1, lengths[0] // 3) :] = 70  # the end of the longest text
+    net = gru.Network(2, 4)
+    before = net.x[70].copy()
     state = gru.train(net, docs)
-    assert lengths[0] == 1 or (net.x[4] != before).all()  # a class that no learned input shows would stay
+    assert lengths[0] == 1 or (net.x[70] != before).all()  # a cell that no learned input shows would stay
     assert state["tokens"] == sum(lengths)
     assert gru.train(net, docs, state=state)["tokens"] == 2 * sum(lengths)
 
 
 def test_pieces_begin_with_the_state_before_them():
     r = np.random.default_rng(4)
-    net, doc = gru.Network(6, 4), r.integers(1, 6, 400).astype(np.int32)
+    net, doc = gru.Network(1, 4), r.integers(1, 6, 400).astype(np.int32)
     states, h = [np.zeros((1, 4), np.float32)], np.zeros((1, 4), np.float32)
-    for x in np.r_[gru.START, doc[:-1]]:
+    for x in np.r_[net.start, doc[:-1]]:
         h = net.step(h, np.array([x]))[-1]
         states.append(h)
     for size in (16, 64, 96):
@@ -231,10 +381,11 @@ def test_pieces_begin_with_the_state_before_them():
 
 def test_gradient_by_differences():
     r = np.random.default_rng(1)
-    docs = [r.integers(1, 5, 8).astype(np.int32) for _ in range(8)]
-    net = gru.Network(5, 3)
-    flat, loss = net.flat(), lambda f: -gru.score(gru.Network.of(f, 5, 3), docs).sum() * np.log(10) / 64
-    moved = gru.Network.of(flat, 5, 3)
+    docs = [r.choice([1, 2, 3, 70, 71], 8).astype(np.int32) for _ in range(8)]
+    net = gru.Network(2, 3)
+    net.v += r.normal(0, 0.3, net.v.shape).astype(np.float32)
+    flat, loss = net.flat(), lambda f: -gru.score(gru.Network.of(f, 2, 3), docs).sum() * np.log(10) / 64
+    moved = gru.Network.of(flat, 2, 3)
     gru.train(moved, docs, steps=8, lanes=8, rate=1e-3)
     step = np.sign(moved.flat() - flat)
     slopes = np.array([(loss(flat + 1e-2 * e) - loss(flat - 1e-2 * e)) / 2e-2 for e in np.eye(len(flat))])
@@ -242,8 +393,11 @@ def test_gradient_by_differences():
     assert clear.sum() > 20 and (np.sign(slopes[clear]) == -step[clear]).mean() > 0.97
 
 
+KEY = "quillspan test key"
+
+
 def py_feistel(left, right, a, b, kind):
-    f = lambda i, x: int(hashlib.sha256(f"{pii.KEY}|{kind}|{i}|{x}".encode()).hexdigest()[:12], 16)
+    f = lambda i, x: int(hashlib.sha256(f"{KEY}|{kind}|{i}|{x}".encode()).hexdigest()[:12], 16)
     for i in range(pii.ROUNDS):
         left, right = ((left + f(i, right)) % a, right) if i % 2 == 0 else (left, (right + f(i, left)) % b)
     return left, right
@@ -262,13 +416,14 @@ def py_digits(d, kind):
 def test_pseudonyms(spark, docs, empty):
     text = "a.b@c.example.com 10.0.0.255 10.0.0.256 123-45-6789 666-45-6789 2024-02-29 2023/02/29 +1 (974) 555-3436 974.555.3436 4417744280351547 4417-7442-8035-1547 4417744280351548 token = \"04dbebab91ab8568\" x04dbebab91ab8568"
     rows = spark.createDataFrame([(1, text, 5), (2, None, 5), (3, "", 5), (4, text, 5), (5, "9" * 3000 + " 12.5 1-2-3", 5)], "doc_id long, text string, keep long")
-    got = {r.doc_id: r for r in pii.pseudonymise(rows).collect()}
+    got = {r.doc_id: r for r in pii.pseudonymise(rows, KEY).collect()}
     out = got[1].text.split(" ")
     assert (got[1].n_email, got[1].n_ip, got[1].n_ssn, got[1].n_date, got[1].n_phone, got[1].n_card, got[1].n_secret) == (1, 1, 1, 1, 2, 2, 1)
     assert out[0].endswith("@pii.invalid") and out[2] == "10.0.0.256" and out[4] == "666-45-6789" and out[6] == "2023/02/29" and out[13] == "4417744280351548"
     x, y = py_feistel(10 * 256, 255, 65536, 65536, "ip")
     assert out[1] == f"{x // 256}.{x % 256}.{y // 256}.{y % 256}"
-    ten = py_digits("9745553436", "phone")
+    x, y = py_feistel(974 - 200, (555 - 200) * 10000 + 3436, 800, 8_000_000, "phone")
+    ten = f"{x + 200}{y // 10000 + 200}{y % 10000:04d}"
     assert " ".join(out[7:10]) == f"+1 ({ten[:3]}) {ten[3:6]}-{ten[6:]}"
     assert f"{ten[:3]}.{ten[3:6]}.{ten[6:]}" in got[1].text
     card = py_digits("441774428035154", "card")
@@ -281,6 +436,22 @@ def test_pseudonyms(spark, docs, empty):
     assert pii.pseudonymise(empty).count() == 0
     other = pii.pseudonymise(rows, key="another").filter("doc_id = 1").first().text
     assert other != got[1].text
+    first, again = (pii.pseudonymise(rows).filter("doc_id = 1").first().text for _ in range(2))
+    assert first == again and first not in (other, got[1].text)  # the session's own key
+
+
+def test_phones_keep_their_form_and_stay_apart(spark):
+    phones = [f"{a:03d}-{x:03d}-{n:04d}" for a in (0, 199, 200, 999) for x in (5, 199, 200, 987) for n in (0, 1, 9999)]
+    rows = spark.createDataFrame(list(enumerate(phones)), "doc_id long, text string")
+    got = [r.text for r in pii.pseudonymise(rows, KEY).orderBy("doc_id").collect()]
+    assert len(set(got)) == len(phones) and all(re.fullmatch(r"\d{3}-\d{3}-\d{4}", g) for g in got)
+    assert [(g[0] >= "2", g[4] >= "2") for g in got] == [(p[0] >= "2", p[4] >= "2") for p in phones]
+
+
+def test_secrets_of_letters_alone(spark):
+    rows = spark.createDataFrame([(1, 'api token = "abcdefabcdefabcdef" end'), (2, "KEY:\"ABCDEFABCDEFABCDEFAB\""), (3, 'token = "abcdef"')], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.pseudonymise(rows, KEY).collect()}
+    assert [got[i].n_secret for i in (1, 2, 3)] == [1, 1, 0] and "abcdefabcdef" not in got[1].text and "ABCDEF" not in got[2].text and got[3].text == 'token = "abcdef"'
 
 
 def test_clashing_columns(spark):
@@ -364,6 +535,48 @@ def test_substring_dedup(spark, docs, empty, texts):
     assert twice == {22: 0}
 
 
+@pytest.mark.parametrize("bounds", [{}, {"shard": 3000}, {"shard": 3000, "contexts_": 2, "rows_": 3}, {"shard": 400, "rows_": 2}])
+def test_hot_phrase_and_near_copies(spark, bounds):
+    """A phrase in a third of the texts, each time between other bytes, and a third of near copies; with bounds, the groups are dealt again and spread."""
+    r = random.Random(3)
+    say = lambda n, of="abcdefgh ": "".join(r.choice(of) for _ in range(n))
+    phrase, passage, texts = say(95), say(500), {}
+    for i in range(450):
+        near = list(passage)
+        near[r.randrange(500)] = r.choice("xyz")
+        texts[i] = (say(r.randint(0, 80)) + phrase + say(r.randint(0, 60), "ab"), "".join(near), say(r.randint(0, 300)))[i % 3]
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in substring_dedup.remove_repeats(df, **bounds).collect()}
+    assert got == removed(texts, 100)
+
+
+def test_workers_hold_a_shard_of_a_hot_group():
+    """One key of 40,000 different contexts: no shard is larger than its bound, and what is left is dealt again."""
+    import pyarrow as pa
+
+    r, sizes = np.random.default_rng(0), []
+
+    class Watched(substring_dedup.Shards):
+        def solve(self, rows, onward):
+            sizes.append(sum(map(len, rows["bytes"].to_pylist())))
+            return super().solve(rows, onward)
+
+    common = bytes(r.integers(97, 123, 70))
+    rows = [(7, 0, i, 0, 30, 5, 0, 33, bytes(r.integers(97, 123, 30)) + common + bytes(r.integers(97, 123, 32))) for i in range(40_000)]
+    batches = (substring_dedup._batch(rows[i : i + 5000], substring_dedup._DEALT) for i in range(0, len(rows), 5000))
+    out = pa.Table.from_batches(list(Watched(100, 1 << 19).run(batches)))
+    assert len(sizes) > 8 and max(sizes) <= 1 << 19
+    assert out.filter(pa.compute.is_valid(out["bytes"])).num_rows == 40_000  # all differ, so all meet again under narrower keys
+
+
+def test_documents_without_an_id_keep_their_own_bytes(spark):
+    r = random.Random(11)
+    a, b = ("".join(r.choice("abcdef") for _ in range(300)) for _ in range(2))
+    rows = [(None, a), (None, b), (None, a), (3, a), (4, b + "x"), (None, None), (5, None)]
+    got = sorted((x.doc_id or 0, x.n_bytes, x.n_removed) for x in substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == sorted([(0, 300, 0)] * 3 + [(0, 0, 0), (3, 300, 300), (4, 301, 300), (5, 0, 0)])
+
+
 def test_substrings_at_random(spark):
     r = random.Random(9)
     parts = ["".join(r.choice("ab") for _ in range(r.randint(30, 160))) for _ in range(25)]
@@ -439,3 +652,20 @@ def test_packing_plan(lengths):
     assert n <= -(-sum(lengths) // 4096) * 1.06 + 1
     with pytest.raises(ValueError):
         packing_plan.plan({5000: 1}, 4096)
+
+
+def test_passages_go_whatever_the_blocks(spark, docs, texts):
+    items = [(1, " ".join(WORD.findall(texts[8])[5:40])), (2, " ".join(WORD.findall(texts[9])[20:45])), (3, None), (None, " ".join(WORD.findall(texts[21])[:12]))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = docs.unionAll(docs.filter("doc_id in (8, 9)"))
+    one, many = (sorted((r.doc_id, r.text or "", r.n_chars) for r in decontamination.remove_passages(rows, benchmark, n).collect()) for n in (1 << 20, 20))
+    assert one == many and len(one) == len(texts) + 2
+    assert decontamination.remove_passages(rows, benchmark, 20).columns == docs.columns
+    left = {k: t for k, t, _ in one}
+    assert not any(v[-1] for v in decontamination.brute_force({k: left[k] for k in (8, 9, 21)}, dict(items)).values()) and left[5] == texts[5]
+
+
+def test_cascade_puts_cheap_rejection_first(docs):
+    slow = "exists(transform(sequence(1, 1000), i -> sha2(concat(text, i), 256)), h -> h = '')"
+    order = quality.cascade_order(docs, {"slow_none": slow, "slow_some": f"not ({slow}) and text > 'm'", "cheap_some": "text > 'm'", "cheap_none": "text = 'no such'"})
+    assert order[0] == "cheap_some" and order[-1] == "slow_none" and order.index("slow_some") < order.index("cheap_none")
