@@ -110,10 +110,10 @@ def normalise(candidates: DataFrame, fragments: DataFrame | None, min_confidence
         first = fragments.groupBy("document_id").agg(F.min_by("id", "pos").alias("first_fragment"))
         df = df.join(kept, ["document_id", "pos"], "left").join(first, "document_id", "left")
         df = df.withColumn("fragment_ids", F.expr("if(known is not null, transform(known, x -> x.id), if(first_fragment is null, cast(array() as array<string>), array(first_fragment)))")).drop("known", "first_fragment")
-    empty = df.filter("canonical_text = ''").select("document_id", F.lit("empty_candidate").alias("code"), F.lit("warning").alias("severity"), F.lit("A candidate had no usable canonical text.").alias("message"), F.lit(None).cast("string").alias("target_id"))
+    empty = df.filter("canonical_text = ''").select("document_id", F.lit("empty_candidate").alias("code"), F.lit("warning").alias("severity"), F.lit("claim without text").alias("message"), F.lit(None).cast("string").alias("target_id"))
     full = df.filter("canonical_text <> ''")
     low = full.filter(F.col("confidence") < min_confidence).select(
-        "document_id", F.lit("low_confidence_candidate").alias("code"), F.lit("info").alias("severity"), F.concat(F.lit("Candidate '"), "id", F.lit("' was below the configured confidence threshold.")).alias("message"), F.col("id").alias("target_id")
+        "document_id", F.lit("low_confidence_candidate").alias("code"), F.lit("info").alias("severity"), F.concat("id", F.lit(": too little confidence")).alias("message"), F.col("id").alias("target_id")
     )
     return full.filter(F.col("confidence") >= min_confidence), empty.unionByName(low)
 

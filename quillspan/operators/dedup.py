@@ -31,7 +31,7 @@ def merge(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
     merged = kept.select("document_id", F.col("id").alias("kept"), F.explode(F.expr("slice(members, 2, size(members))")).alias("m")).filter("m.id <> kept")  # ids are hashes of texts
     diagnostics = merged.select(
         "document_id", F.lit("fingerprint_duplicate_merged").alias("code"), F.lit("info").alias("severity"),
-        F.concat(F.lit("Candidate '"), "m.id", F.lit("' was merged into '"), "kept", F.lit("' because their normalized fingerprints matched.")).alias("message"), F.col("kept").alias("target_id"),
+        F.concat("m.id", F.lit(" says the same as "), "kept").alias("message"), F.col("kept").alias("target_id"),
     )
     return ordered(kept.drop("n", "members")), diagnostics
 

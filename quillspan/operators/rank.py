@@ -71,9 +71,9 @@ def metadata(index: DataFrame) -> DataFrame:
 
 def rank_diagnostics(index: DataFrame) -> DataFrame:
     flat = index.select("document_id", "id", F.explode("reasons").alias("code")).filter(F.col("code").isin(REPORTED))
-    return flat.select("document_id", "code", F.lit("info").alias("severity"), F.concat(F.lit("Candidate '"), "id", F.lit("' rank reason: "), "code", F.lit(".")).alias("message"), F.col("id").alias("target_id"))
+    return flat.select("document_id", "code", F.lit("info").alias("severity"), F.concat("id", F.lit(": ranked for "), "code").alias("message"), F.col("id").alias("target_id"))
 
 
 def variant_diagnostics(relations: DataFrame) -> DataFrame:
     own = relations.filter("kind = 'variant_of'")
-    return own.select("document_id", F.lit("semantic_variant_detected").alias("code"), F.lit("info").alias("severity"), F.concat(F.lit("Candidates '"), "from_id", F.lit("' and '"), "to_id", F.lit("' were retained as reviewable semantic variants.")).alias("message"), F.col("from_id").alias("target_id"))
+    return own.select("document_id", F.lit("semantic_variant_detected").alias("code"), F.lit("info").alias("severity"), F.concat("from_id", F.lit(" and "), "to_id", F.lit(" may be variants; both stay")).alias("message"), F.col("from_id").alias("target_id"))

@@ -10,9 +10,9 @@ from . import embed
 
 RELATION = "document_id string, from_id string, to_id string, kind string, confidence double, note string, metadata string"
 NOTES = {
-    "contradicts": "Shared vocabulary with opposite polarity.", "generalizes": "Universal claim appears to generalize a narrower claim.",
-    "supports": "Conditional and nearby vocabulary suggest a support relation.", "variant_of": "Similar source-grounded claims are reviewable variants.",
-    "argument": "Argument reconstruction linked premise to conclusion.",
+    "contradicts": "Common words, one claim denies.", "generalizes": "One claim speaks of all cases, the other of some.",
+    "supports": "A condition with common words: one may back the other.", "variant_of": "Nearly the same words; to be reviewed.",
+    "argument": "Premise and conclusion of one argument.",
 }
 
 

@@ -9,8 +9,9 @@ from ..functions import rules as R
 from ..functions.columns import once
 from ..functions.text import SPARK as S
 
-#: Marks between pieces; private-use characters, which texts do not hold.
-CUT, GUARD = "", ""
+#: Marks between pieces and behind abbreviations, and the mark that escapes both where a text itself holds them.
+CUT, ESCAPE = "\ue000", "\ue001"
+ESCAPED_ESCAPE, ESCAPED_CUT, GUARD = ESCAPE + "\ue002", ESCAPE + "\ue003", ESCAPE + "\ue004"
 CLOSERS = "[\"')\\]”’»]*"
 
 
@@ -24,9 +25,11 @@ def cut_pattern() -> str:
 
 def pieces(d, text: str) -> str:
     """SQL: the pieces of a text; put together they are the text. A cut stands behind closing marks before white space, but not behind abbreviations."""
-    guarded = d.replace(text, guard_pattern(), f"\\1.{GUARD}\\2")
+    put = lambda x, *pairs: put(f"replace({x}, {d.text(pairs[0][0])}, {d.text(pairs[0][1])})", *pairs[1:]) if pairs else x
+    escaped = put(text, (ESCAPE, ESCAPED_ESCAPE), (CUT, ESCAPED_CUT))
+    guarded = d.replace(escaped, guard_pattern(), f"\\1.{GUARD}\\2")
     cut = d.replace(guarded, cut_pattern(), f"\\1{CUT}\\2")
-    return d.map(d.split(cut, CUT), "p", f"replace(p, {d.text(GUARD)}, '')")
+    return d.map(d.split(cut, CUT), "p", put("p", (GUARD, ""), (ESCAPED_CUT, CUT), (ESCAPED_ESCAPE, ESCAPE)))
 
 
 def ingest(docs: DataFrame) -> DataFrame:

@@ -137,7 +137,7 @@ class Extraction:
         note = lambda df, code, message: df.select("document_id", F.lit(code).alias("code"), F.lit("warning").alias("severity"), F.lit(message).alias("message"), F.lit(None).cast("string").alias("target_id"))
         without = lambda df: self.ingested.select("document_id").join(df.select("document_id").distinct(), "document_id", "left_anti")
         parts = [
-            note(without(self.fragments), "no_fragments", "No textual fragments were produced from the document."), note(without(self.claims), "no_claim_candidates", "No source-grounded claim candidates were found."),
+            note(without(self.fragments), "no_fragments", "document without passages"), note(without(self.claims), "no_claim_candidates", "document without claims"),
             dropped, merged, rank.variant_diagnostics(self.relations), rank.rank_diagnostics(self.index),
         ]
         if self.config.model_terms and self.ner is None:

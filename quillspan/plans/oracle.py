@@ -117,7 +117,7 @@ ORACLES = {
     "passage_clusters": CONV.sql("select m.document_id, m.sequence, m.root as representative, case when count(*) over (partition by m.document_id, m.root) > 1 then 0.72 else 0.5 end as confidence from member m"),
     "argument_links": CONV.sql("select c.document_id, c.root as representative, c.claim_id as from_id, a.conclusion as to_id, cast(count(*) as bigint) as n from claimc c join argg a on a.document_id = c.document_id and a.root = c.root where a.n >= 2 and c.claim_id <> a.conclusion group by 1, 2, 3, 4"),
     "dedup_propositions": DOCS.sql("select document_id, cast(pos as bigint) as pos, id, fingerprint, claim_kind, negated, confidence, array_to_string(fragment_ids, ' ') as fragment_ids, coalesce(array_to_string(duplicate_ids, ' '), '') as duplicate_ids from prop"),
-    "dedup_diagnostics": DOCS.sql("select document_id, 'fingerprint_duplicate_merged' as code, kept as target_id, 'Candidate ''' || id || ''' was merged into ''' || kept || ''' because their normalized fingerprints matched.' as message from first where nth > 1 and canonical_text <> kept_text"),
+    "dedup_diagnostics": DOCS.sql("select document_id, 'fingerprint_duplicate_merged' as code, kept as target_id, id || ' says the same as ' || kept as message from first where nth > 1 and canonical_text <> kept_text"),
     "relations_lexical": DOCS.sql("select document_id, from_id, to_id, kind, cast(confidence as double) as confidence from lex"),
     "relations_variant": DOCS.sql(f"select document_id, from_id, to_id, kind, {_R.format('confidence')} as confidence from var"),
     "score_breakdown": DOCS.sql("select document_id, id, role, philosophical_score, specificity_score, cast(source_quality_score as double) as source_quality_score, role_score, cast(relation_score as double) as relation_score, final_rank_score, cast(first_sequence as bigint) as first_sequence, cast(first_paragraph as bigint) as first_paragraph from score"),
@@ -129,10 +129,10 @@ ORACLES = {
     "worldview_relations": DOCS.sql("select document_id, 'relation_' || from_id || '_' || kind || '_' || to_id as id, kind from rel"),
     "stage_summaries": DOCS.sql("select 'ingest' as name, count(*) as output_count from ing union all select 'segment', count(*) from pass union all select 'extract_claims', count(*) from cand union all select 'classify_roles', count(*) from role union all select 'normalize_propositions', count(*) from prop union all select 'relate', count(*) from rel"),
     "claim_labels": f"select event_type, count(*) as n, min(case when {D.matches(D.lower('event_type'), '^(premise|conclusion|definition)$')} then event_type else 'unknown' end) as role from events group by event_type",
-    "span_violations": "with s as (select o_orderkey as id, 'o' || (o_custkey + case when o_orderkey % 97 = 0 then 1000000000 else 0 end) as source_id, case when o_orderkey % 89 = 0 then 1 else o_orderkey end as sequence, case when o_orderkey % 83 = 0 then ' ' else 'text' end as text, case when o_orderkey % 79 = 0 then 'md5:0' else 'sha256:' || sha256('text') end as content_hash from orders), c as (select 'o' || c_custkey as id from customer) select 'span_text' as code, 'span ' || id || ' has empty text' as message from s where trim(text) = '' union all select 'span_hash', id || ' content hash is not a complete sha256:<hex> digest' from s where content_hash like 'md5%' union all select 'span_source', 'span ' || id || ' references unknown source ' || source_id from s where source_id not in (select id from c) union all select 'sequence_repeated', 'source ' || source_id || ' has duplicate span sequence ' || sequence from s group by source_id, sequence having count(*) > 1",
+    "span_violations": "with s as (select o_orderkey as id, 'o' || (o_custkey + case when o_orderkey % 97 = 0 then 1000000000 else 0 end) as source_id, case when o_orderkey % 89 = 0 then 1 else o_orderkey end as sequence, case when o_orderkey % 83 = 0 then ' ' else 'text' end as text, case when o_orderkey % 79 = 0 then 'md5:0' else 'sha256:' || sha256('text') end as content_hash from orders), c as (select 'o' || c_custkey as id from customer) select 'span_text' as code, 'span ' || id || ': no text' as message from s where trim(text) = '' union all select 'span_hash', id || ': the hash is no full sha256' from s where content_hash like 'md5%' union all select 'span_source', 'span ' || id || ': no source ' || source_id from s where source_id not in (select id from c) union all select 'sequence_repeated', 'source ' || source_id || ': twice the sequence ' || sequence from s group by source_id, sequence having count(*) > 1",
     "media_interval_join": "with e as (select event_id, user_id, epoch_us(ts) / 1000000.0 as s, epoch_us(ts) / 1000000.0 + value * 60 as e, event_type from events) select l.event_id as span_id, r.event_id as interval_id from e l join e r on l.user_id = r.user_id and l.s <= r.e and r.s <= l.e where l.event_type = 'click' and r.event_type = 'view'",
-    "scalar_slice_offsets": "select doc_id, substring(text, 11, 20) as slice, cast(strlen(substring(text, 1, 10)) as bigint) as byte_start, cast(strlen(substring(text, 1, 30)) as bigint) as byte_end from documents where length(text) >= 30",
+    "scalar_slice_offsets": "select doc_id, substring(text, 11, 20) as slice, cast(strlen(substring(text, 1, 10)) as bigint) as byte_start, cast(strlen(substring(text, 1, 30)) as bigint) as byte_end from documents",
     "record_revision": "select doc_id, 'sha256:' || sha256('{\"id\":\"d' || doc_id || '\",\"kind\":\"' || lang || '\",\"metadata\":{\"n_chars\":\"' || n_chars || '\"},\"uri\":null}') as revision from documents",
     "evidence_records": "with b as (select doc_id, 'sha256:' || sha256(text) as rev, 'family:source-record:sha256:' || sha256('[\"quill\",\"' || source || '\",\"d' || doc_id || '\"]') as family, source from documents), r as (select doc_id, '{\"class\":\"metadata\",\"familyId\":\"' || family || '\",' as head, '\"producer\":{\"name\":\"loader\",\"revision\":\"git:1\"},\"source\":{\"recordId\":\"d' || doc_id || '\",\"repository\":\"quill\",\"revision\":\"' || rev || '\",\"scopeId\":\"' || source || '\"}}' as tail from b) select doc_id, 'evidence:source-span:sha256:' || sha256(head || tail) as evidence_id, sha256(head || '\"id\":\"evidence:source-span:sha256:' || sha256(head || tail) || '\",' || tail) as record_hash from r",
-    "source_segments": "select conv_id, 's' || conv_id || '_' || min(turn) as first_segment, cast(count(*) as bigint) as n_segments, sum(case when role = 'user' then cast(turn as double) end) as start_sum from conversations where turn % 3 <> 2 group by conv_id",
+    "source_segments": "select conv_id, 's' || conv_id || '_' || min(turn) as first_segment, cast(count(*) as bigint) as n_segments, sum(case when role = 'user' then cast(turn as double) end) as start_sum from conversations group by conv_id",
 }

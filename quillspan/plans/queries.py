@@ -193,7 +193,7 @@ def media_interval_join(spark, sf_dir):
 
 
 def source_segments(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations").filter("turn % 3 <> 2")
+    turns = table(spark, sf_dir, "conversations")
     name = F.concat(F.lit("s"), F.col("conv_id").cast("string"), F.lit("_"), F.col("turn").cast("string"))
     rows = turns.select(name.alias("id"), F.when(F.col("role") == "user", "timed").otherwise("text").alias("locator_kind"), F.col("turn").cast("double").alias("start_seconds"), F.col("turn").cast("double").alias("end_seconds"), F.lit('{"corpusCoreSegmentRevision":"sha256:0"}').alias("metadata"))
     held = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", name.alias("n")))).alias("t")).select("conv_id", F.col("conv_id").cast("string").alias("document_id"), F.col("conv_id").cast("string").alias("id"), F.expr("transform(t, x -> x.n)").alias("fragment_ids"))
@@ -203,7 +203,7 @@ def source_segments(spark, sf_dir):
 
 def scalar_slice_offsets(spark, sf_dir):
     cut, start, end = corpus.scalar_slice("text", "10", "30")
-    return table(spark, sf_dir, "documents").filter("char_length(text) >= 30").select("doc_id", F.expr(cut).alias("slice"), F.expr(start).cast("long").alias("byte_start"), F.expr(end).cast("long").alias("byte_end"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.expr(cut).alias("slice"), F.expr(start).cast("long").alias("byte_start"), F.expr(end).cast("long").alias("byte_end"))
 
 
 def record_revision(spark, sf_dir):

@@ -23,9 +23,11 @@ _OWN: dict[str, str] = {}
 
 
 def scratch(spark: SparkSession) -> str:
-    """The folder all executors share; one of our own only where the session names none (tests, local mode)."""
+    """The folder all executors share; one of our own only in local mode, where the session names none."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         own = spark.sparkContext.applicationId
         if own not in _OWN:
             _OWN[own] = "file://" + tempfile.mkdtemp(prefix="quillspan-")

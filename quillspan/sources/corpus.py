@@ -63,25 +63,25 @@ def read_batch(lines: DataFrame, schema: str = SCHEMA) -> SpanBatch:
     full = lines.filter(F.expr(f"not ({V.blank('value')})"))
     head = full.orderBy("line").limit(1).select(F.from_json("value", "schema string, schema_version int, producer struct<name: string, revision: string>").alias("h"), "line").collect()
     if not head:
-        raise InvalidBatch("the corpus batch is empty; a header line is required")
+        raise InvalidBatch("an empty batch has no header")
     header = head[0].h
     if header is None or header.schema is None or header.producer is None:
-        raise InvalidBatch("the first line is not a valid batch header")
+        raise InvalidBatch("the first line is no header")
     if (header.schema, header.schema_version) != (schema, VERSION):
-        raise InvalidBatch(f"unsupported corpus batch {header.schema}@{header.schema_version}")
+        raise InvalidBatch(f"batches of {header.schema}@{header.schema_version} are not read here")
     producer = {"name": header.producer.name, "revision": header.producer.revision}
     if not all((v or "").strip() for v in producer.values()):
-        raise InvalidBatch("corpus batch producer name and revision are required")
+        raise InvalidBatch("the batch's producer needs a name and a revision")
     body = full.filter(F.col("line") > head[0].line).withColumn("v", F.expr("try_parse_json(value)")).withColumn("keys", F.json_object_keys("value"))
     body = body.withColumn("kind", F.expr("try_variant_get(v, '$.record.record_type', 'string')")).withColumn("record", F.expr("try_variant_get(v, '$.record.record', 'string')"))
     body = body.withColumn("record", F.get_json_object("value", "$.record.record")).withColumn("payload", F.get_json_object("value", "$.payload"))
     allowed = " ".join(f"when '{k}' then array({', '.join(repr(f) for f in _fields(k))})" for k in RECORDS)
     known = ", ".join(f"'{k}'" for k in RECORDS)
     shape = [
-        ("line", "v is null or not (keys = array('record') or keys = array('payload'))", "concat('line ', line + 1, ' is not a record or payload')"),
-        ("record_type", f"keys = array('record') and coalesce(kind, chr(0)) not in ({known})", "concat('line ', line + 1, ' has unknown record type ', coalesce(kind, 'none'))"),
-        ("fields", f"kind in ({known}) and size(array_except(json_object_keys(record), case kind {allowed} end)) > 0", "concat('line ', line + 1, ' has unknown fields')"),
-        ("payload", "keys = array('payload') and (size(array_except(json_object_keys(payload), array('hash', 'media_type', 'text'))) > 0 or get_json_object(payload, '$.text') is null or get_json_object(payload, '$.hash') is null)", "concat('line ', line + 1, ' is not a payload')"),
+        ("line", "v is null or not (keys = array('record') or keys = array('payload'))", "concat('line ', line + 1, ': neither record nor payload')"),
+        ("record_type", f"keys = array('record') and coalesce(kind, chr(0)) not in ({known})", "concat('line ', line + 1, ': record type unknown: ', coalesce(kind, 'none'))"),
+        ("fields", f"kind in ({known}) and size(array_except(json_object_keys(record), case kind {allowed} end)) > 0", "concat('line ', line + 1, ': fields that nobody knows')"),
+        ("payload", "keys = array('payload') and (size(array_except(json_object_keys(payload), array('hash', 'media_type', 'text'))) > 0 or get_json_object(payload, '$.text') is null or get_json_object(payload, '$.hash') is null)", "concat('line ', line + 1, ': no payload')"),
         ("metadata", "kind is not null and exists(map_values(coalesce(from_json(get_json_object(record, '$.metadata'), 'map<string,string>'), map())), x -> x is null)", "concat('line ', line + 1, ' has metadata that are no strings')"),
         ("metadata_type", "kind is not null and get_json_object(record, '$.metadata') rlike ':[ ]*(?:[0-9{\\\\[-]|true|false|null)(?=[^\\\"]*(?:\\\"[^\\\"]*\\\"[^\\\"]*)*$)'", "concat('line ', line + 1, ' has metadata that are no strings')"),
     ]
@@ -106,20 +106,20 @@ def _check(sources: DataFrame, assets: DataFrame, representations: DataFrame, se
     empty = lambda what: [("id", V.blank("id"), f"'{what} identifier must not be empty'")]
     ranges = [(name, f"locator.{col} is not null and coalesce(locator.{col}.start > locator.{col}.`end` or locator.{col}.start < 0, true)", f"concat('segment ', id, ' has an invalid {name}')") for name, col in (("byte range", "byte_range"), ("character range", "character_range"), ("time range", "time_range_ms"), ("frame range", "frame_range"))]
     require(union([
-        violations(payloads, [("payload_hash", f"not {V.S.matches('hash', HEX)}", "concat('payload has an invalid content hash ', hash)"), ("payload_text", "sha2(text, 256) <> hash", "concat('payload text does not match its content hash ', hash)")], "hash"),
-        V.repeated(payloads, ["hash"], "payload_repeated", "concat('duplicate payload for content hash ', hash)"),
-        V.repeated(all_.select(F.col("id"), "kind"), ["id", "kind"], "record_repeated", "concat('duplicate corpus record ', id)"),
+        violations(payloads, [("payload_hash", f"not {V.S.matches('hash', HEX)}", "concat('payload with a bad hash ', hash)"), ("payload_text", "sha2(text, 256) <> hash", "concat('payload whose text has another hash than ', hash)")], "hash"),
+        V.repeated(payloads, ["hash"], "payload_repeated", "concat('twice the payload ', hash)"),
+        V.repeated(all_.select(F.col("id"), "kind"), ["id", "kind"], "record_repeated", "concat('twice the record ', id)"),
         violations(sources, empty("source")),
-        violations(assets, [*empty("asset"), ("hash", bad("content.hash"), "concat('asset ', id, ' has an invalid content hash')"), ("kind", f"not (kind in ({', '.join(repr(k) for k in ASSET_KINDS)}) or kind like 'other:_%')", "concat('asset ', id, ' has unknown kind ', kind)")]),
+        violations(assets, [*empty("asset"), ("hash", bad("content.hash"), "concat('asset ', id, ': bad hash')"), ("kind", f"not (kind in ({', '.join(repr(k) for k in ASSET_KINDS)}) or kind like 'other:_%')", "concat('asset ', id, ': kind unknown: ', kind)")]),
         violations(representations, [
-            *empty("representation"), ("hash", f"content_hash is null or {bad('content_hash')}", "concat('representation ', id, ' has an invalid content hash')"), ("content", bad("content.hash"), "concat('representation ', id, ' has an invalid content hash')"),
-            ("conflict", "content.hash <> content_hash", "concat('representation ', id, ' content hash ', content_hash, ' conflicts with its content reference hash ', content.hash)"), ("parameters", bad("provenance.parameters_hash"), "concat('representation ', id, ' has an invalid content hash')"),
+            *empty("representation"), ("hash", f"content_hash is null or {bad('content_hash')}", "concat('representation ', id, ': bad hash')"), ("content", bad("content.hash"), "concat('representation ', id, ': bad hash')"),
+            ("conflict", "content.hash <> content_hash", "concat('representation ', id, ' content hash ', content_hash, ' but its content names ', content.hash)"), ("parameters", bad("provenance.parameters_hash"), "concat('representation ', id, ': bad hash')"),
         ]),
-        violations(segments, [*empty("segment"), *ranges, ("parameters", bad("provenance.parameters_hash"), "concat('segment ', id, ' has an invalid content hash')")]),
-        unknown(assets, "source_id", sources, "id", "asset_source", "concat('asset ', id, ' references unknown source ', source_id)"),
-        unknown(segments, "asset_id", assets, "id", "segment_asset", "concat('segment ', id, ' references unknown asset ', asset_id)"),
-        unknown(owners, "at", known, "at", "representation_owner", "concat('representation ', id, ' references unknown owner ', owner.id)"),
-        unknown(inputs, "at", known, "at", "provenance_input", "concat(id, ' provenance references unknown input ', i.id)"),
+        violations(segments, [*empty("segment"), *ranges, ("parameters", bad("provenance.parameters_hash"), "concat('segment ', id, ': bad hash')")]),
+        unknown(assets, "source_id", sources, "id", "asset_source", "concat('asset ', id, ': no source ', source_id)"),
+        unknown(segments, "asset_id", assets, "id", "segment_asset", "concat('segment ', id, ': no asset ', asset_id)"),
+        unknown(owners, "at", known, "at", "representation_owner", "concat('representation ', id, ': no owner ', owner.id)"),
+        unknown(inputs, "at", known, "at", "provenance_input", "concat(id, ': made from nothing known: ', i.id)"),
     ]))
 
 
@@ -156,18 +156,18 @@ def _map(producer: dict, sources: DataFrame, assets: DataFrame, representations:
     number = lambda c: f"metadata['{c}'] is not null and not {V.S.matches(c and 'metadata[' + repr(c) + ']', '^[+]?[0-9]{1,18}$')}"
     require(union([
         violations(joined, [
-            ("range", "locator.character_range is null", "concat('segment ', id, ' has no character range; only text segments can become source spans')"), ("unit", "coalesce(unit, '') <> 'unicode_scalar'", "concat('segment ', id, ' must declare character_unit unicode_scalar for its character range')"),
-            ("representation", "representation_id is null", "concat('segment ', id, ' does not name the representation its character range indexes')"), ("unknown", "representation_id is not null and rep_id is null", "concat('segment ', id, ' references unknown representation ', representation_id)"),
-            ("owner", "rep_id is not null and not (owner.record_type = 'asset' and owner.id = asset_id)", "concat('segment ', id, ' indexes representation ', rep_id, ' that is not owned by its asset ', asset_id)"),
-            ("text_kind", f"rep_kind not in ({texts})", "concat('segment ', id, ' indexes representation ', rep_id, ' that is not a text representation')"),
+            ("range", "locator.character_range is null", "concat('segment ', id, ': no characters given, so no text span')"), ("unit", "coalesce(unit, '') <> 'unicode_scalar'", "concat('segment ', id, ': characters must be counted in unicode_scalar')"),
+            ("representation", "representation_id is null", "concat('segment ', id, ': no representation named for its characters')"), ("unknown", "representation_id is not null and rep_id is null", "concat('segment ', id, ': no representation ', representation_id)"),
+            ("owner", "rep_id is not null and not (owner.record_type = 'asset' and owner.id = asset_id)", "concat('segment ', id, ': counts in representation ', rep_id, ', which does not belong to asset ', asset_id)"),
+            ("text_kind", f"rep_kind not in ({texts})", "concat('segment ', id, ': counts in representation ', rep_id, ', which holds no text')"),
         ]),
         joined.groupBy("asset_id").agg(F.count_distinct("rep_id").alias("n"), F.min("id").alias("id")).filter("n > 1").select(F.lit(0).alias("check_order"), F.lit("representations").alias("code"), F.col("asset_id").alias("target_id"), F.expr("concat('asset ', asset_id, ' has segments over more than one representation (segment ', id, ')')").alias("message")),
         unknown(joined.filter("rep_id is not null"), "content_hash", payloads, "hash", "payload_missing", "concat('representation ', rep_id, ' text is not carried in the batch (no payload for ', content_hash, ')')"),
-        violations(joined, [("paragraph", number("paragraph_ordinal"), "concat('segment ', id, ' has a non-numeric paragraph_ordinal')"), ("index", number("segment_index"), "concat('segment ', id, ' has a non-numeric segment_index')"), ("headings", bad_path, "concat('segment ', id, ' heading_path must be a JSON array of strings')")]),
+        violations(joined, [("paragraph", number("paragraph_ordinal"), "concat('segment ', id, ': paragraph_ordinal is no number')"), ("index", number("segment_index"), "concat('segment ', id, ': segment_index is no number')"), ("headings", bad_path, "concat('segment ', id, ': heading_path is no list of strings')")]),
     ]))
     full = joined.join(payloads.select(F.col("hash").alias("content_hash"), F.col("text").alias("whole")), "content_hash").join(assets.select(F.col("id").alias("asset_id"), F.col("line").alias("asset_line"), F.col("kind").alias("asset_kind"), "source_id", F.col("content").alias("asset_content"), F.col("metadata").alias("asset_metadata")), "asset_id")
     full = full.join(sources.select(F.col("id").alias("source_id"), F.col("metadata").alias("source_metadata")), "source_id").withColumn("first", F.col("locator.character_range.start")).withColumn("last", F.expr("locator.character_range.`end`"))
-    require(union([violations(full, [("bounds", "last > char_length(whole) or first >= last", "concat('segment ', id, ' character range ', first, '..', last, ' is outside representation ', rep_id, ' or empty')")])]))
+    require(union([violations(full, [("bounds", "last > char_length(whole) or first >= last", "concat('segment ', id, ' character range ', first, '..', last, ' lies outside of representation ', rep_id, ' or empty')")])]))
     order = Window.partitionBy("asset_id").orderBy("first", "last", "id")
     cut, byte_start, byte_end = scalar_slice("whole", "first", "last")
     full = full.withColumn("sequence", F.row_number().over(order) - 1).withColumn("text", F.expr(cut)).withColumn("b0", F.expr(byte_start)).withColumn("b1", F.expr(byte_end))

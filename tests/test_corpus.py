@@ -87,12 +87,12 @@ def change(path, value):
 
 
 FAULTS = {
-    "unsupported": change((0, "schema_version"), 2), "revision are required": change((0, "producer", "revision"), " "), "unknown source": change((2, "record", "record", "source_id"), "x"), "unknown asset": change((4, "record", "record", "asset_id"), "x"),
-    "unknown representation": change((4, "record", "record", "locator", "selectors", "representation_id"), "x"), "unknown owner": change((3, "record", "record", "owner", "id"), "x"), "does not match": change((7, "payload", "text"), "other"), "invalid content hash": change((3, "record", "record", "content_hash"), "ABC"),
-    "unknown kind": change((2, "record", "record", "kind"), "odd"), "metadata that are no strings": change((1, "record", "record", "metadata", "title"), 1), "unknown record type": change((1, "record", "record_type"), "thing"), "outside representation": change((4, "record", "record", "locator", "character_range", "end"), 1000),
-    "invalid character range": change((4, "record", "record", "locator", "character_range", "start"), 50), "duplicate corpus record": lambda x: [*x, x[1]], "no payload": lambda x: x[:-1], "not a record": lambda x: [*x, "{"], "header": lambda x: ["", "  "],
-    "unknown fields": change((1, "record", "record", "more"), 1), "conflicts": change((3, "record", "record", "content"), {"uri": "u", "hash": "0" * 64, "media_type": None, "byte_length": None}), "non-numeric": change((4, "record", "record", "metadata", "paragraph_ordinal"), "x"),
-    "heading_path": change((4, "record", "record", "metadata", "heading_path"), "[1]"), "unknown input": change((3, "record", "record", "provenance", "inputs"), [{"record_type": "asset", "id": "y"}]), "character_unit": change((4, "record", "record", "locator", "selectors", "character_unit"), "byte"),
+    "are not read here": change((0, "schema_version"), 2), "a name and a revision": change((0, "producer", "revision"), " "), "no source": change((2, "record", "record", "source_id"), "x"), "no asset": change((4, "record", "record", "asset_id"), "x"),
+    "no representation": change((4, "record", "record", "locator", "selectors", "representation_id"), "x"), "no owner": change((3, "record", "record", "owner", "id"), "x"), "another hash": change((7, "payload", "text"), "other"), "bad hash": change((3, "record", "record", "content_hash"), "ABC"),
+    "kind unknown": change((2, "record", "record", "kind"), "odd"), "metadata that are no strings": change((1, "record", "record", "metadata", "title"), 1), "record type unknown": change((1, "record", "record_type"), "thing"), "outside of representation": change((4, "record", "record", "locator", "character_range", "end"), 1000),
+    "invalid character range": change((4, "record", "record", "locator", "character_range", "start"), 50), "twice the record": lambda x: [*x, x[1]], "no payload": lambda x: x[:-1], "neither record": lambda x: [*x, "{"], "header": lambda x: ["", "  "],
+    "fields that nobody knows": change((1, "record", "record", "more"), 1), "but its content names": change((3, "record", "record", "content"), {"uri": "u", "hash": "0" * 64, "media_type": None, "byte_length": None}), "is no number": change((4, "record", "record", "metadata", "paragraph_ordinal"), "x"),
+    "heading_path": change((4, "record", "record", "metadata", "heading_path"), "[1]"), "made from nothing known": change((3, "record", "record", "provenance", "inputs"), [{"record_type": "asset", "id": "y"}]), "counted in unicode_scalar": change((4, "record", "record", "locator", "selectors", "character_unit"), "byte"),
 }
 
 
@@ -116,9 +116,9 @@ def test_evidence(spark):
     assert out["revision"] == "sha256:" + sha(compact(out["evidence"]))
     head = next(r for r in out["evidence"] if r["class"] == "metadata")
     assert all(r["parentEvidenceIds"] == [head["id"]] for r in out["evidence"] if r["class"] == "source_text")
-    with pytest.raises(InvalidBatch, match="immutable"):
+    with pytest.raises(InvalidBatch, match="no fixed revision"):
         evidence.export(got, "main")
-    with pytest.raises(InvalidBatch, match="timed|not supported"):
+    with pytest.raises(InvalidBatch, match="timed|cannot be exported"):
         evidence.export(read(spark, batch(media=True)), "git:5")
 
 
@@ -134,7 +134,7 @@ def test_media_violations(spark):
     segments = spark.createDataFrame([("u", "c", 0.0, 1.0, 9.0), ("w", "", 3.0, 1.0, float("nan"))], "id string, category string, start_seconds double, end_seconds double, video_duration double")
     found = spans.media_violations(videos, scenes, observations, tracks, blocks, segments)
     messages = " | ".join(r.message for r in found.collect())
-    for part in ("source URL", "complete sha256", "scene s2 has an invalid or reversed", "scene s2 has reversed frame", "run id", "o2 has empty text", "o2 has an invalid timestamp", "o2 has invalid confidence", "o2 has an empty bounding box", "t2 is missing", "t2 has reversed frame", "unknown observation o9", "unknown scene s9", "requires snapshot", "w is missing a category", "w has an invalid or reversed", "w has invalid video duration"):
+    for part in ("source URL", "no full sha256", "scene s2: bad times", "scene s2: frames end", "run id", "o2: no text", "o2: bad time", "o2: bad confidence", "o2: region without", "t2: text, role or samples missing", "t2: frames end", "no observation o9", "no scene s9", "blocks need snapshot", "w: no category", "w: bad times", "w: bad duration"):
         assert part in messages, part
     assert "s1" not in messages and "o1" not in messages.replace("o1]", "") and "t1" not in messages
     with pytest.raises(InvalidBatch):

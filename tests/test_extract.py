@@ -176,3 +176,16 @@ def test_command_line(spark, tmp_path):
     assert json.loads((tmp_path / "out.json").read_text()) == out
     part = json.loads(extract(spark, [str(tmp_path / "in.txt"), "--stage-through", "segment", "--no-persist-artifacts"]))
     assert part["candidates"] == [] and [s["name"] for s in part["stages"]] == ["ingest", "segment"]
+
+
+def test_texts_may_hold_the_marks_of_segmentation(spark):
+    """Offsets, cuts and texts with private-use characters in them; the sentences are given by hand."""
+    from quillspan.operators import segment
+
+    marks = "\ue000\ue001\ue002\ue003\ue004"
+    parts = [f"Alpha beta{marks}gamma stays one.", f"Dr. {marks[1]}{marks[4]} Smith is here!", f"{marks[::-1]} ends\ue001\ue003 so."]
+    text = " ".join(parts)
+    docs = spark.createDataFrame([("d", text)], "document_id string, text string")
+    rows = segment.sentences(docs).orderBy("pos").collect()
+    assert [r.text for r in rows] == parts
+    assert all(text.encode()[r.start_byte : r.end_byte].decode() == r.text for r in rows)
