@@ -17,13 +17,17 @@ NOTES = {
 
 
 def pairs(candidates: DataFrame, tokens: str, least: float) -> DataFrame:
-    """Pairs with Jaccard similarity of at least ``least`` (> 0), left before right by ``pos``; pairs without a common token never meet."""
-    own = candidates.select("document_id", "pos", "id", "claim_kind", "negated", "fingerprint", F.size(tokens).alias("n"), F.explode(tokens).alias("token"))
-    left, right = (own.select("document_id", "token", *(F.col(c).alias(f"{c}_{s}") for c in ("pos", "id", "claim_kind", "negated", "fingerprint", "n"))) for s in "lr")
-    met = left.join(right, ["document_id", "token"]).filter("pos_l < pos_r")
-    columns = [c for c in met.columns if c not in ("token",)]
-    counted = met.groupBy(*columns).agg(F.count("*").alias("common"))
-    return counted.withColumn("overlap", F.expr("common / (n_l + n_r - common)")).filter(F.col("overlap") >= least)
+    """Pairs with Jaccard similarity of at least ``least`` (> 0), left before right by ``pos``; pairs without a common token never meet.
+
+    Pairs meet and are counted by number alone, and only where the sizes of their sets allow the similarity; other columns join what remains.
+    """
+    own = candidates.select("document_id", "pos", F.size(tokens).alias("n"), F.explode(tokens).alias("token"))
+    left, right = (own.select("document_id", "token", F.col("pos").alias(f"pos_{s}"), F.col("n").alias(f"n_{s}")) for s in "lr")
+    met = left.join(right, ["document_id", "token"]).filter(f"pos_l < pos_r and least(n_l, n_r) >= {least} * greatest(n_l, n_r) - 1e-9")
+    counted = met.groupBy("document_id", "pos_l", "pos_r", "n_l", "n_r").agg(F.count("*").alias("common"))
+    near = counted.withColumn("overlap", F.expr("common / (n_l + n_r - common)")).filter(F.col("overlap") >= least)
+    left, right = (candidates.select("document_id", *(F.col(c).alias(f"{c}_{s}") for c in ("pos", "id", "claim_kind", "negated", "fingerprint"))) for s in "lr")
+    return near.join(left, ["document_id", "pos_l"]).join(right, ["document_id", "pos_r"])
 
 
 def lexical_relations(candidates: DataFrame) -> DataFrame:
