@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from abc import ABC, abstractmethod
 from collections.abc import Iterator
+from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -134,11 +137,70 @@ def embed_with(provider: EmbeddingProvider, rows: DataFrame) -> DataFrame:
     return rows.withColumn("vector", run("text"))
 
 
-def nearest(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
-    """The k most similar vectors (vec_id, embedding) of every query (query_id, query): an exact search of a stated query set against all rows."""
-    from pyspark.sql import Window
-
-    own = vectors.withColumn("n", norm("embedding"))
-    both = own.crossJoin(F.broadcast(queries.withColumn("qn", norm("query")))).filter("vec_id <> query_id").withColumn("similarity", F.round(cosine("query", "embedding", "qn", "n"), 6))
+#: Queries in a block, which is broadcast, and vectors compared with it at a time: both bound what a worker holds.
+QUERY_BLOCK, VECTOR_BLOCK = 2048, 512
+
+
+class Best:
+    """The ``k`` most similar vectors so far of each query of a block; ties go to the smaller vec_id."""
+
+    def __init__(self, ids: np.ndarray, vectors: list, k: int):
+        self.ids, self.k = ids, k
+        lengths = np.array([len(v) for v in vectors])
+        self.groups = [(rows, self.unit([vectors[i] for i in rows], n)) for n in np.unique(lengths) for rows in [np.flatnonzero(lengths == n)]]
+        self.query, self.near, self.found = np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)
+
+    @staticmethod
+    def unit(vectors: list, n: int) -> np.ndarray:
+        own = np.nan_to_num(np.array(vectors, np.float64).reshape(len(vectors), n))
+        norms = np.sqrt((own * own).sum(axis=1))
+        return own / np.where(norms > 0, norms, 1)[:, None]
+
+    def add(self, ids: np.ndarray, vectors: list) -> None:
+        lengths = np.array([len(v) for v in vectors])
+        near = np.zeros((len(self.ids), len(ids)))  # vectors of another length have a similarity of 0
+        for rows, queries in self.groups:
+            same = np.flatnonzero(lengths == queries.shape[1])
+            if len(same) and queries.shape[1]:
+                near[np.ix_(rows, same)] = queries @ self.unit([vectors[i] for i in same], queries.shape[1]).T
+        near = np.round(near, 6)
+        near[self.ids[:, None] == ids[None, :]] = -2  # the query itself
+        least = -np.partition(-near, min(self.k, len(ids)) - 1, axis=1)[:, min(self.k, len(ids)) - 1]
+        row, column = np.nonzero((near >= least[:, None]) & (near > -2))
+        query, sim, found = np.r_[self.query, row], np.r_[self.near, near[row, column]], np.r_[self.found, ids[column]]
+        order = np.lexsort((found, -sim, query))
+        query, sim, found = query[order], sim[order], found[order]
+        head = np.flatnonzero(np.r_[True, query[1:] != query[:-1]][: len(query)])
+        place = np.arange(len(query)) - np.repeat(head, np.diff(np.r_[head, len(query)]))
+        keep = place < self.k
+        self.query, self.near, self.found = query[keep], sim[keep], found[keep]
+
+
+def nearest(queries: DataFrame, vectors: DataFrame, k: int, block: int = QUERY_BLOCK) -> DataFrame:
+    """The k most similar vectors (vec_id, embedding) of every query (query_id, query): an exact search of a stated query set against all rows.
+
+    Queries are broadcast in blocks of bounded size, each a pass over the vectors; every task keeps k places a query, which are merged by query.
+    Rows without a vector or an id take no part.
+    """
+    spark, parts = queries.sparkSession, []
+    ship(spark)
+    known = vectors.filter("vec_id is not null and embedding is not null").select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
+    asked = queries.filter("query_id is not null and query is not null").select(F.col("query_id").cast("long").alias("query_id"), "query").toLocalIterator()
+    while held := list(islice(asked, block)):
+        shared = spark.sparkContext.broadcast((np.array([r.query_id for r in held], np.int64), [np.array(r.query, np.float64) for r in held]))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            ids, own = shared.value
+            best = Best(ids, own, k)
+            for batch in batches:
+                for i in range(0, batch.num_rows, VECTOR_BLOCK):
+                    part = batch.slice(i, VECTOR_BLOCK)
+                    best.add(part.column(0).to_numpy(), [np.array(v, np.float64) for v in part.column(1).to_pylist()])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[best.query]), pa.array(best.found), pa.array(best.near)], ["query_id", "vec_id", "similarity"])
+
+        parts.append(known.mapInArrow(run, "query_id long, vec_id long, similarity double"))
+    if not parts:
+        return spark.createDataFrame([], "query_id long, place int, vec_id long, similarity double")
     order = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "vec_id")
+    both = reduce(DataFrame.unionAll, parts)
     return both.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k).select("query_id", "place", "vec_id", "similarity")

@@ -54,3 +54,28 @@ def test_stand_ins(spark):
     rows = spark.createDataFrame([('{"a":true,"b":["x",1,"y"]}',), ('{"a":"true","b":3}',), ("?",)], "m string")
     got = [tuple(r) for r in rows.select(providers.metadata_flag("m", "a"), providers.metadata_strings("m", "b")).collect()]
     assert got == [(True, ["x", "y"]), (False, []), (False, [])]
+
+
+def test_nearest_in_blocks(spark):
+    """Against all pairs: ties, vectors of other lengths, zero, empty and missing ones, repeated queries' blocks."""
+    import random
+
+    import numpy as np
+
+    from quillspan.operators import embed
+
+    r = random.Random(6)
+    rows = [(i, [float(r.choice([-1, 0, 1, 2])) for _ in range(4)]) for i in range(700)] + [(700, [1.0, 2.0]), (701, [0.0] * 4), (702, []), (703, None), (None, [1.0] * 4)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    asked = [x for x in rows if x[0] is not None and x[0] % 20 == 0 or x[0] in (701, 702)]
+
+    def similarity(a, b):
+        a, b = np.array(a), np.array(b)
+        return round(float(a @ b / np.sqrt((a @ a) * (b @ b))), 6) + 0.0 if len(a) == len(b) and len(a) and a.any() and b.any() else 0.0
+
+    own = {i: v for i, v in rows if i is not None and v is not None}
+    want = {(q, n + 1, i) for q, v in asked for n, (_, i) in enumerate(sorted((-similarity(v, u), i) for i, u in own.items() if i != q)[:5])}
+    queries = spark.createDataFrame(asked, "query_id long, query array<float>")
+    for block in (embed.QUERY_BLOCK, 7):
+        assert {(x.query_id, x.place, x.vec_id) for x in embed.nearest(queries, vectors, 5, block).collect()} == want
+    assert embed.nearest(queries.limit(0), vectors, 5).count() == 0
