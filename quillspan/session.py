@@ -36,8 +36,10 @@ def scratch(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage and survives the loss of any executor."""
+    """Write ``df`` to the shared folder and read it back: cuts lineage and survives the loss of any executor. The table goes when the session's JVM ends."""
     spark = df.sparkSession
     path = f"{scratch(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    written = spark._jvm.org.apache.hadoop.fs.Path(path)
+    written.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(written)
     return spark.read.schema(df.schema).parquet(path)
