@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import rules as R
+from ..functions.columns import once
 from ..functions.text import SPARK as S
 from ..session import ship
 
@@ -29,7 +30,7 @@ def buckets(text: str, dimensions: int) -> str:
 
 def hash_embedding(rows: DataFrame, dimensions: int = DIMENSIONS, text: str = "text", decimals: bool = True) -> DataFrame:
     """Add ``vector``: token counts by bucket, scaled to length 1 in single precision, rounded to three decimals if asked."""
-    df = rows.withColumn("_b", F.expr(buckets(text, dimensions)))
+    df = once(rows, _b=buckets(text, dimensions))  # else every dimension hashes the tokens anew
     df = df.withColumn("_c", F.expr(f"transform(sequence(0, {dimensions - 1}), d -> cast(size(filter(_b, b -> b = d)) as float))"))
     df = df.withColumn("_n", F.expr("cast(sqrt(cast(aggregate(_c, cast(0 as float), (a, v) -> cast(a + v * v as float)) as double)) as float)"))
     unit = "cast(v / _n as float)"

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
+from ..session import materialise
 from . import embed
 
 RELATION = "document_id string, from_id string, to_id string, kind string, confidence double, note string, metadata string"
@@ -58,8 +59,13 @@ def relations(candidates: DataFrame, rerank: bool = False) -> DataFrame:
 
 
 def reranked(candidates: DataFrame, found: DataFrame, k: int = 8) -> DataFrame:
-    """Confidence raised to a hybrid retrieval score (three parts cosine of hashed vectors, one part Jaccard) where the target is among the source's k best."""
-    own = embed.hash_embedding(candidates.select("document_id", "id", "canonical_text", "content_tokens"), embed.RETRIEVAL_DIMENSIONS, "canonical_text", decimals=False).withColumn("n", embed.norm("vector"))
+    """Confidence raised to a hybrid retrieval score (three parts cosine of hashed vectors, one part Jaccard) where the target is among the source's k best.
+
+    Sources are compared with all claims of their documents; documents without relations have no source, so their claims get no vectors.
+    """
+    found = materialise(found, "found-relations")
+    held = candidates.select("document_id", "id", "canonical_text", "content_tokens").join(found.select("document_id").distinct(), "document_id", "left_semi")
+    own = embed.hash_embedding(held, embed.RETRIEVAL_DIMENSIONS, "canonical_text", decimals=False).withColumn("n", embed.norm("vector"))
     queries = found.select("document_id", F.col("from_id").alias("id")).distinct().join(own, ["document_id", "id"])
     left = queries.select("document_id", F.col("id").alias("from_id"), F.col("vector").alias("v_l"), F.col("n").alias("n_l"), F.col("content_tokens").alias("t_l"))
     right = own.select("document_id", F.col("id").alias("to_id"), F.col("vector").alias("v_r"), F.col("n").alias("n_r"), F.col("content_tokens").alias("t_r"))

@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from quillspan.operators import formal, segment, worldview
+from quillspan.operators import embed, formal, relate, segment, worldview
 from quillspan.plans.extract import FILES, Extraction
 from quillspan.sources import config as C
 from quillspan.sources import documents as D
@@ -157,6 +157,21 @@ def test_reranking(spark):
     assert len(rows) == 1 and rows[0].confidence >= 0.72 and "text-retrieval-hybrid" in rows[0].metadata
 
 
+def test_reranking_embeds_only_documents_with_relations(spark, monkeypatch):
+    x = run(spark, "The soul is immortal. The soul is not immortal. Virtue is knowledge.", "Justice should harmonize the soul. Knowledge concerns truth.")
+    asked, whole = [], embed.hash_embedding
+    monkeypatch.setattr(embed, "hash_embedding", lambda rows, *a, **k: asked.append(rows) or whole(rows, *a, **k))
+    rows = relate.reranked(x.propositions, relate.relations(x.propositions)).collect()
+    assert len(rows) == 1 and "semanticScore" in rows[0].metadata
+    assert {r.canonical_text for r in asked[0].collect()} == {"The soul is immortal.", "The soul is not immortal.", "Virtue is knowledge."}
+
+
+def test_tokens_are_hashed_once_for_all_dimensions(spark):
+    df = embed.hash_embedding(spark.createDataFrame([("A word, a word.",)], "text string"), 128)
+    lines = [s for s in str(df._jdf.queryExecution().optimizedPlan().toString()).splitlines() if "sha2(" in s]
+    assert lines and not any("as float" in s for s in lines)
+
+
 def test_streaming_equals_batch(spark, tmp_path):
     from quillspan.streaming.claims import stream_claims, write_claims
 
