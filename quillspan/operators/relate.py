@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,8 +55,9 @@ def variant_relations(candidates: DataFrame) -> DataFrame:
     return found.select("document_id", F.col("id_l").alias("from_id"), F.col("id_r").alias("to_id"), F.lit("variant_of").alias("kind"), F.col("overlap").alias("confidence"), F.lit(NOTES["variant_of"]).alias("note"), metadata.alias("metadata"))
 
 
-def relations(candidates: DataFrame, rerank: bool = False) -> DataFrame:
-    found = lexical_relations(candidates).unionByName(variant_relations(candidates))
+def relations(candidates: DataFrame, rerank: bool = False, share: Callable[[DataFrame, str], DataFrame] = lambda df, name: df) -> DataFrame:
+    """Both kinds of relations; ``share`` may write each before the next is looked for, so that their shuffles don't add up."""
+    found = share(lexical_relations(candidates), "vocabulary").unionByName(share(variant_relations(candidates), "variants"))
     return reranked(candidates, found) if rerank else found
 
 

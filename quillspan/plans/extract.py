@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..operators import arguments, claims, dedup, embed, formal, rank, relate, segment, spans, terms, worldview
-from ..session import materialise
+from ..session import discard, write_and_read
 from ..sources.config import Config
 
 #: The file of each stage's artifact.
@@ -23,9 +23,36 @@ class Extraction:
 
     def __init__(self, documents: DataFrame, config: Config = Config(), keep: bool = True, ner=None):
         self.documents, self.config, self.keep, self.ner = documents, config, keep, ner
+        self._written: list[tuple[str, str]] = []
 
     def _share(self, df: DataFrame, name: str) -> DataFrame:
-        return materialise(df, name) if self.keep else df
+        if not self.keep:
+            return df
+        shared, path = write_and_read(df, name)
+        self._written.append((name, path))
+        return shared
+
+    def export(self) -> DataFrame:
+        """``worldviews()`` for those who need nothing else: tables that only the index and the relations are made from are removed first.
+
+        The run's other tables are made anew if they are asked for later; tables that were handed out before can't be read any more.
+        """
+        self.first_pass, self.role_of, self.relations  # noqa: B018
+        self._leave("ranked", "roles", "passages", "relations")
+        self.index  # noqa: B018
+        self._leave("passages", "relations", "index")
+        return self.worldviews()
+
+    def _leave(self, *names: str) -> None:
+        """Remove all written tables but these; what was made from others is made anew if asked for."""
+        for name, path in self._written:
+            if name not in names:
+                discard(self.documents.sparkSession, path)
+        self._written = [w for w in self._written if w[0] in names]
+        attributes = {"ranked": "first_pass", "roles": "role_of", "passages": "fragments"}
+        held = {"ingested", *names, *(attributes.get(n, n) for n in names)}
+        for name in [n for n in vars(self) if isinstance(getattr(type(self), n, None), cached_property) and n not in held]:
+            del self.__dict__[name]
 
     @cached_property
     def ingested(self) -> DataFrame:
@@ -93,7 +120,7 @@ class Extraction:
     @cached_property
     def lexical(self) -> DataFrame:
         """Relations of the first pass."""
-        return self._share(relate.relations(self.propositions, self.config.rerank), "lexical")
+        return self._share(relate.relations(self.propositions, self.config.rerank, self._share), "lexical")
 
     @cached_property
     def first_pass(self) -> DataFrame:
@@ -107,7 +134,7 @@ class Extraction:
     def relations(self) -> DataFrame:
         if not self.config.include_relations:
             return self._none()
-        found = relate.relations(self.first_pass, self.config.rerank)
+        found = relate.relations(self.first_pass, self.config.rerank, self._share)
         return self._share(found.unionByName(relate.argument_relations(self.arguments)), "relations")
 
     @cached_property

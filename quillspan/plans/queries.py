@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import claims, embed, evidence, rank, relate, segment, spans, terms, worldview
+from ..session import materialise
 from ..sources import corpus, documents
 from .extract import Extraction
 
@@ -225,8 +226,9 @@ def heading_paths(spark, sf_dir):
 
 
 def relation_rerank(spark, sf_dir):
-    run = docs(spark, sf_dir, True)
-    return relate.reranked(run.propositions, relate.relations(run.propositions)).select("document_id", "from_id", "to_id", "kind", F.round("confidence", 6).alias("confidence"))
+    # only what relations read is written
+    own = materialise(docs(spark, sf_dir).propositions.select("document_id", "pos", "id", "claim_kind", "negated", "fingerprint", "canonical_text", "content_tokens", "relation_tokens"), "propositions")
+    return relate.relations(own, True, materialise).select("document_id", "from_id", "to_id", "kind", F.round("confidence", 6).alias("confidence"))
 
 
 def ner_terms(spark, sf_dir):
@@ -238,7 +240,7 @@ def ner_terms(spark, sf_dir):
 
 
 def worldview_json(spark, sf_dir):
-    return Extraction(documents.from_table(table(spark, sf_dir, "documents"))).worldviews().select("document_id", "worldview_id", F.octet_length("worldview").alias("n_bytes"), "worldview")
+    return Extraction(documents.from_table(table(spark, sf_dir, "documents"))).export().select("document_id", "worldview_id", F.octet_length("worldview").alias("n_bytes"), "worldview")
 
 
 NAMES = [

@@ -35,11 +35,34 @@ def scratch(spark: SparkSession) -> str:
     return folder
 
 
+#: Shuffle files of a finished query go at once, not when the JVM happens to collect its plan.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage and survives the loss of any executor. The table goes when the session's JVM ends."""
+    """Write ``df`` to the shared folder and read it back: cuts lineage and survives the loss of any executor. The table goes when the session's JVM ends.
+
+    The shuffle files behind the table go as soon as it is written.
+    """
+    return write_and_read(df, name)[0]
+
+
+def write_and_read(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As :func:`materialise`, with the table's path for :func:`discard`."""
     spark = df.sparkSession
     path = f"{scratch(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     written = spark._jvm.org.apache.hadoop.fs.Path(path)
     written.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(written)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a table that :func:`write_and_read` wrote; nothing may read it any more."""
+    written = spark._jvm.org.apache.hadoop.fs.Path(path)
+    written.getFileSystem(spark._jsc.hadoopConfiguration()).delete(written, True)

@@ -1,9 +1,13 @@
 import json
+import time
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from quillspan.operators import embed, formal, relate, segment, worldview
 from quillspan.plans.extract import FILES, Extraction
+from quillspan.session import materialise
 from quillspan.sources import config as C
 from quillspan.sources import documents as D
 from quillspan.sources.config import Config
@@ -172,6 +176,31 @@ def test_tokens_are_hashed_once_for_all_dimensions(spark):
     assert lines and not any("as float" in s for s in lines)
 
 
+def test_export_leaves_only_what_worldviews_read(spark):
+    texts = [A, "The soul is immortal. The soul is not immortal."]
+    whole, x = run(spark, *texts), run(spark, *texts)
+    expected = sorted(map(tuple, whole.worldviews().collect()))
+    folder = Path(whole._written[0][1].removeprefix("file://")).parent
+    before = set(folder.iterdir())
+    assert sorted(map(tuple, x.export().collect())) == expected
+    assert sorted(p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before) == ["index", "passages", "relations"]
+    assert x.propositions.count() == whole.propositions.count()  # made anew
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    def shuffled():
+        folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f for d in folders for f in Path(d).rglob("shuffle_*.data")}
+
+    before = shuffled()
+    df = materialise(spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count(), "cleaned")
+    for _ in range(50):  # they go in the background
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before and df.count() == 7
+
+
 def test_streaming_equals_batch(spark, tmp_path):
     from quillspan.streaming.claims import stream_claims, write_claims
 
