@@ -10,8 +10,8 @@ by a task of its own, so no task holds more than ``2 * CHUNK`` fingerprints.
 ``drop_near_duplicates`` looks for similarity instead: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or
 more. Their fingerprints have 1024 bits over the different shingles of a text. Pairs that share two of six blocks in one of the first
 ``BLOCKED`` words of 64 bits are verified by the Hamming distance of the first ``CHECKED`` words, then of all. What differs in so few
-bits that the similarity is certain is linked; for pairs near the limit the sets themselves decide. So no link is below 0.8; the
-blocks find most pairs above, not all: README has the measured recall.
+bits that the similarity is certain is linked; for pairs near the limit the sets themselves decide. So no link is below 0.8. Forests of a bucket's pairs come first,
+then all pairs of what they leave apart; the blocks find most pairs above 0.8, not all: README has the measured recall.
 
 Defined results: null, empty and blank texts have fingerprint zero and are linked like any other; fewer words than a shingle
 give one shingle of all words; rows that repeat a doc_id are one node, of which every fingerprint links; rows without a doc_id
@@ -40,6 +40,8 @@ CHECKED_BITS, WIDE_BITS, SURE_BITS = 51, 190, 110
 #: Fingerprints in a table from which on it takes one block more.
 MORE_BLOCKS = (1 << 24, 1 << 30)
 CHUNK, SMALL = 4096, 24
+#: Pairs of a bucket that a task holds at a time.
+PAIRS = 1 << 20
 #: Fingerprints a task multiplies by their keys.
 SPREAD_ROWS = 1 << 16
 #: Fingerprints of rows without a doc_id go by numbers from here on.
@@ -175,15 +177,33 @@ def bucket_edges(fps: np.ndarray, bits: int = MAX_BITS) -> list[tuple[int, int]]
     return out
 
 
+def bucket_pairs(fps: np.ndarray, group: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All close pairs (local indices) of different groups within one bucket, some at a time; the largest group is not compared with itself."""
+    kinds, of, sizes = np.unique(group, return_inverse=True, return_counts=True)
+    order = np.argsort(of == np.argmax(sizes), kind="stable")
+    fps, of, held, n = fps[:, order], of[order], [], 0
+    for i in range(len(order) - int(sizes.max())):
+        near = np.flatnonzero((_far(fps[:, i + 1 :], fps[:, i : i + 1]) <= bits) & (of[i + 1 :] != of[i])) + i + 1
+        if len(near):
+            held.append((np.full(len(near), order[i]), order[near]))
+            n += len(near)
+        if n >= PAIRS:
+            yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+            held, n = [], 0
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+
+
 def _far(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Differing bits of fingerprints with one row per word."""
     return np.bitwise_count(a ^ b).sum(axis=0, dtype=np.int32)
 
 
-def links(prints: DataFrame, keys: Column, words: tuple[str, ...] = ("fp",), bits: int = MAX_BITS, files: int = 1) -> DataFrame:
+def links(prints: DataFrame, keys: Column, words: tuple[str, ...] = ("fp",), bits: int = MAX_BITS, files: int = 1, whole: bool = False) -> DataFrame:
     """Edges (u, v) between representatives ``rep`` of distinct fingerprints (rep, ``words``) that together connect all pairs that share a key and are close.
 
-    With a column ``group``, only edges between different groups.
+    With a column ``group``, only edges between different groups. ``whole``: all such pairs, for those who may reject some of them; a forest
+    holds one way to each fingerprint, which a rejected edge would cut.
     """
     group = F.col("group") if "group" in prints.columns else F.col("rep")
     keyed = prints.select("rep", group.alias("group"), *words, F.explode(keys).alias("key"))
@@ -205,16 +225,16 @@ def links(prints: DataFrame, keys: Column, words: tuple[str, ...] = ("fp",), bit
             last = (held[1] == held[1][-1]) & (held[2] == held[2][-1])
             cut = int(np.argmax(last))  # sorted, so the last bucket begins at its first row
             if cut:
-                yield _edges_of([x[:cut] for x in held], bits)
+                yield from _edges_of([x[:cut] for x in held], bits, whole)
                 held = [x[cut:] for x in held]
         if held:
-            yield _edges_of(held, bits)
+            yield from _edges_of(held, bits, whole)
 
     return sorted_.mapInArrow(run, "u long, v long")
 
 
-def _edges_of(columns: list[np.ndarray], bits: int) -> pa.RecordBatch:
-    """Edges of whole buckets, which stand one after another: small ones by shifted comparison, others one by one."""
+def _edges_of(columns: list[np.ndarray], bits: int, whole: bool = False) -> Iterator[pa.RecordBatch]:
+    """Edges of whole buckets, which stand one after another: small ones by shifted comparison, others one by one, by a forest or (``whole``) all pairs."""
     rep, key, part, group = columns[:4]
     fp = np.array(columns[4:]).view(np.uint64)
     starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (part[1:] != part[:-1])])
@@ -232,12 +252,19 @@ def _edges_of(columns: list[np.ndarray], bits: int) -> pa.RecordBatch:
         vs.append(rep[j[near]])
     for s in np.flatnonzero(sizes > SMALL):
         own = slice(starts[s], starts[s] + sizes[s])
-        if found := bucket_edges(fp[:, own], bits):
+        if whole:
+            for i, j in bucket_pairs(fp[:, own], group[own], bits):
+                yield _edges(rep[own][i], rep[own][j])
+        elif found := bucket_edges(fp[:, own], bits):
             i, j = np.array(found).T
             apart = group[own][i] != group[own][j]
             us.append(rep[own][i[apart]])
             vs.append(rep[own][j[apart]])
     u, v = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (us, vs))
+    yield _edges(u, v)
+
+
+def _edges(u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
 
@@ -281,15 +308,16 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     alone = F.count("*").over(Window.partitionBy("doc_id")) == 1
     own = F.when(F.col("doc_id").isNotNull() & alone, F.col("doc_id")).otherwise(F.shiftrightunsigned(F.xxhash64(*names), 2) + F.lit(-(2**63)))
     distinct = materialise(distinct.withColumn("rep", own).coalesce(files), "distinct-fingerprints")
-    # the first word's blocks connect most of a large group of close copies; the others are then searched for what they connect beyond that
+    # the first word's blocks connect most of a large group of close copies; the others are then searched for what they connect beyond that.
+    # A forest's edges may turn out not to be similar and leave texts apart that other pairs connect, so all pairs of groups still apart come last
     groups = None
-    for words in (range(1), range(1, BLOCKED)):
+    for words, whole in ((range(1), False), (range(1, BLOCKED), False), (range(BLOCKED), True)):
         known = distinct.select("rep", *names[:BLOCKED], F.col("rep").alias("group"))
         if groups is not None:
             known = materialise(known.drop("group").join(groups, known.rep == groups.node, "left").select("rep", *names[:BLOCKED], F.coalesce("root", "rep").alias("group")).coalesce(files), "known")
         # written once for all words: a plan with an expression for each word and key takes much of the driver's memory
         keys = F.flatten(F.transform(F.array(*(f"w{i}" for i in words)), lambda w, i: F.array(*(k.bitwiseOR(F.shiftleft(i.cast("long"), 48)) for k in block_keys(6, 4, w)))))
-        found = links(_spread(known, n, "rep"), keys, tuple(names[:CHECKED]), CHECKED_BITS, files).distinct()
+        found = links(_spread(known, n, "rep"), keys, tuple(names[:CHECKED]), CHECKED_BITS, files, whole).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         groups = _connected(docs, distinct, found, groups, files)
     classes = distinct.join(groups, distinct.rep == groups.node, "left").select(*names, F.coalesce("root", "rep").alias("group"))
     return prints.join(classes, names).select("doc_id", "hash", "group")

@@ -669,3 +669,29 @@ def test_cascade_puts_cheap_rejection_first(docs):
     slow = "exists(transform(sequence(1, 1000), i -> sha2(concat(text, i), 256)), h -> h = '')"
     order = quality.cascade_order(docs, {"slow_none": slow, "slow_some": f"not ({slow}) and text > 'm'", "cheap_some": "text > 'm'", "cheap_none": "text = 'no such'"})
     assert order[0] == "cheap_some" and order[-1] == "slow_none" and order.index("slow_some") < order.index("cheap_none")
+
+
+def test_a_rejected_edge_of_a_bucket_does_not_cut_off_a_similar_text(spark, monkeypatch):
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(400)]
+
+    def edit(words, n):
+        out = list(words)
+        for i in rng.sample(range(len(out)), n):
+            out[i] = f"x{rng.random()}"
+        return out
+
+    # pairs of close texts, each pair some 0.7 to 0.8 from the others, so that candidates of one bucket are often not similar
+    texts = [" ".join(edit(own, 4)) for own in (edit(base, 9) for _ in range(30)) for _ in range(2)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    sets = [set(simhash.shingle_hashes(t, 5, 42).tolist()) for t in texts]
+    prints = np.array([simhash.wide_fingerprint(t) for t in texts]).T
+    columns = [np.arange(len(texts)), np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64), np.arange(len(texts)), *prints[: simhash.CHECKED].view(np.int64)]
+    found = {(min(u, v), max(u, v)) for b in simhash._edges_of(columns, simhash.CHECKED_BITS, True) for u, v in zip(*(c.to_pylist() for c in b.columns), strict=True)}
+    far = lambda i, j: int(np.bitwise_count(prints[: simhash.CHECKED, i] ^ prints[: simhash.CHECKED, j]).sum())
+    assert found == {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if far(i, j) <= simhash.CHECKED_BITS}
+    similar = [(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    assert similar and len(similar) < len(texts) * (len(texts) - 1) // 4
+    monkeypatch.setattr(simhash, "block_keys", lambda *a: [F.lit(1).cast("long")])  # all in one bucket
+    group = {r.doc_id: r.group for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(group[i] == group[j] for i, j in similar)
