@@ -29,6 +29,7 @@ def pairs(candidates: DataFrame, tokens: str, least: float) -> DataFrame:
     met = left.join(right, ["document_id", "token"]).filter(f"pos_l < pos_r and least(n_l, n_r) >= {least} * greatest(n_l, n_r) - 1e-9")
     counted = met.groupBy("document_id", "pos_l", "pos_r", "n_l", "n_r").agg(F.count("*").alias("common"))
     near = counted.withColumn("overlap", F.expr("common / (n_l + n_r - common)")).filter(F.col("overlap") >= least)
+    near = materialise(near, "near")  # few rows: written before other columns join, so that these are not shuffled beside the tokens
     left, right = (candidates.select("document_id", *(F.col(c).alias(f"{c}_{s}") for c in ("pos", "id", "claim_kind", "negated", "fingerprint"))) for s in "lr")
     return near.join(left, ["document_id", "pos_l"]).join(right, ["document_id", "pos_r"])
 
