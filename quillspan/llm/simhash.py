@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialise, partitions, small_batches, spare, table
-from .components import FILE_ROWS, components
+from .components import FILE_ROWS, Forest as Forest, components
 
 SHINGLE, SEED, MAX_BITS = 4, 42, 4
 #: For similarity: words of a shingle, 64-bit words of a fingerprint, how many of them give keys and how many are checked in a bucket.
@@ -138,26 +138,6 @@ def block_keys(n: int = 6, bits: int = MAX_BITS, word: str | Column = "fp") -> l
     return out
 
 
-class Forest:
-    """Union-find over local indices."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def find(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = self.up[self.up[x]]
-            x = self.up[x]
-        return x
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.find(a), self.find(b)
-        if a == b:
-            return False
-        self.up[max(a, b)] = min(a, b)
-        return True
-
-
 def bucket_edges(fps: np.ndarray, bits: int = MAX_BITS) -> list[tuple[int, int]]:
     """Spanning-forest edges (local indices) of the links within one bucket, by breadth-first search over unvisited members.
 

@@ -695,3 +695,25 @@ def test_a_rejected_edge_of_a_bucket_does_not_cut_off_a_similar_text(spark, monk
     monkeypatch.setattr(simhash, "block_keys", lambda *a: [F.lit(1).cast("long")])  # all in one bucket
     group = {r.doc_id: r.group for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all(group[i] == group[j] for i, j in similar)
+
+
+def test_small_graphs_are_joined_by_one_task(spark, monkeypatch):
+    """Rounds of small queries fill the driver: a graph within ONE_TASK takes two tables, a larger one goes by rounds, and both say the same."""
+    r = random.Random(3)
+    low = -(2**62)
+    path = [(low + i, low + i + 1) for i in range(300)]
+    edges = path + [(r.randrange(400), r.randrange(400)) for _ in range(250)] + [(5, 5), (None, 1), (2, None), (7, 6), (6, 7)]
+    rows = spark.createDataFrame(edges, "u long, v long").repartition(5).cache()
+    names = []
+    monkeypatch.setattr(components, "materialise", lambda df, name, f=components.materialise: names.append(name) or f(df, name))
+    one = {x.node: x.root for x in components.components(rows).collect()}
+    assert names == ["edges", "stars"]
+    assert all(one[low + i] == low for i in range(1, 301))
+    forest = components.Forest(400)
+    for u, v in edges[300:]:
+        if u is not None and v is not None:
+            forest.join(u, v)
+    assert {k: v for k, v in one.items() if k >= 0} == {k: forest.find(k) for k in range(400) if forest.find(k) != k}
+    monkeypatch.setattr(components, "ONE_TASK", 0)
+    assert {x.node: x.root for x in components.components(rows).collect()} == one and len(names) > 4
+    rows.unpersist()
