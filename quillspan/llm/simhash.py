@@ -20,7 +20,7 @@ link like any other, and have a null component where no row of theirs has a doc_
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -183,7 +183,7 @@ def links(prints: DataFrame, keys: Column, words: tuple[str, ...] = ("fp",), bit
     """Edges (u, v) between representatives ``rep`` of distinct fingerprints (rep, ``words``) that together connect all pairs that share a key and are close.
 
     With a column ``group``, only edges between different groups. ``whole``: all such pairs, for those who may reject some of them; a forest
-    holds one way to each fingerprint, which a rejected edge would cut.
+    holds one way to each fingerprint, which a rejected edge would cut. Then rows are (u, v, key, part), as :func:`_pairs_or_members` has them.
     """
     group = F.col("group") if "group" in prints.columns else F.col("rep")
     keyed = prints.select("rep", group.alias("group"), *words, F.explode(keys).alias("key"))
@@ -197,20 +197,78 @@ def links(prints: DataFrame, keys: Column, words: tuple[str, ...] = ("fp",), bit
     dealt = marked.select("rep", "key", F.explode(spread).alias("part"), "group", *words)
     sorted_ = dealt.repartition("key", "part").sortWithinPartitions("key", "part", "rep")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        for batch in batches:
-            now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            held = [np.concatenate(x) for x in zip(held, now, strict=True)] if held else now
-            last = (held[1] == held[1][-1]) & (held[2] == held[2][-1])
-            cut = int(np.argmax(last))  # sorted, so the last bucket begins at its first row
-            if cut:
-                yield from _edges_of([x[:cut] for x in held], bits, whole)
-                held = [x[cut:] for x in held]
-        if held:
-            yield from _edges_of(held, bits, whole)
+    if whole:
+        return sorted_.mapInArrow(lambda batches: _by_bucket(batches, lambda x: _pairs_or_members(x, bits)), "u long, v long, key long, part int")
+    return sorted_.mapInArrow(lambda batches: _by_bucket(batches, lambda x: _edges_of(x, bits)), "u long, v long")
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch], edges: Callable[[list[np.ndarray]], Iterator[pa.RecordBatch]]) -> Iterator[pa.RecordBatch]:
+    """``edges`` of rows (rep, key, part, ...) that are sorted by bucket (key, part), always given whole buckets."""
+    held: list[np.ndarray] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        held = [np.concatenate(x) for x in zip(held, now, strict=True)] if held else now
+        last = (held[1] == held[1][-1]) & (held[2] == held[2][-1])
+        cut = int(np.argmax(last))  # sorted, so the last bucket begins at its first row
+        if cut:
+            yield from edges([x[:cut] for x in held])
+            held = [x[cut:] for x in held]
+    if held:
+        yield from edges(held)
+
+
+def all_links(prints: DataFrame, keys: Column, files: int) -> tuple[DataFrame, DataFrame]:
+    """All pairs of different groups that share a key and may be similar, of representatives (rep, group, w0 .. w15): candidates (u, v) and (u, v, far).
+
+    A bucket with more pairs than members in them gives those members instead, and these are compared by all words of their
+    fingerprints: pairs near the limit in a large group of near copies become rows only where all words say that they are close.
+    """
+    names = [f"w{i}" for i in range(WIDE)]
+    near = materialise(links(prints.select("rep", "group", *names[:BLOCKED]), keys, tuple(names[:CHECKED]), CHECKED_BITS, files, True), "pairs")
+    crowded = near.filter("v is null").select(F.col("u").alias("rep"), "key", "part")
+    dealt = crowded.join(prints, "rep").select("rep", "key", "part", "group", *names).repartition("key", "part").sortWithinPartitions("key", "part", "rep")
+    return near.filter("v is not null").select("u", "v"), dealt.mapInArrow(lambda batches: _by_bucket(batches, _close_of), "u long, v long, far int").distinct()
 
-    return sorted_.mapInArrow(run, "u long, v long")
+
+def _close_of(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """(u, v, far) with u < v for all pairs of whole buckets that are close by all words."""
+    rep, key, part, group = columns[:4]
+    starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (part[1:] != part[:-1])])
+    for s, e in zip(starts, np.r_[starts[1:], len(key)], strict=True):
+        fps, own = np.array([c[s:e] for c in columns[4:]]).view(np.uint64), rep[s:e]
+        for i, j in bucket_pairs(fps, group[s:e], WIDE_BITS):
+            ends, far = (np.minimum(own[i], own[j]), np.maximum(own[i], own[j])), _far(fps[:, i], fps[:, j])
+            yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in ends), pa.array(far, pa.int32())], ["u", "v", "far"])
+
+
+def _pairs_or_members(columns: list[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
+    """(u, v, null, null) for the pairs of whole buckets, or (rep, null, key, part) for the members in them where these are fewer."""
+    rep, key, part = columns[:3]
+    starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (part[1:] != part[:-1])])
+    sizes = np.diff(np.r_[starts, len(key)])
+    large = np.repeat(sizes > SMALL, sizes)
+    for batch in _edges_of([x[~large] for x in columns], bits) if not large.all() else ():
+        yield _pairs(batch.column(0), batch.column(1))
+    for s, n in zip(starts[sizes > SMALL], sizes[sizes > SMALL], strict=True):
+        own = slice(s, s + n)
+        held, found, paired = [], 0, np.zeros(n, bool)
+        for i, j in bucket_pairs(np.array([c[own] for c in columns[4:]]).view(np.uint64), columns[3][own], bits):
+            paired[i] = paired[j] = True
+            found += len(i)
+            held = [*held, (i, j)] if found <= n else []
+        if found > paired.sum():
+            members = pa.array(rep[own][paired], pa.int64())
+            k = len(members)
+            yield pa.RecordBatch.from_arrays([members, pa.nulls(k, pa.int64()), pa.array(np.full(k, key[s]), pa.int64()), pa.array(np.full(k, part[s]), pa.int32())], ["u", "v", "key", "part"])
+        else:
+            for i, j in held:
+                yield _pairs(pa.array(rep[own][i], pa.int64()), pa.array(rep[own][j], pa.int64()))
+
+
+def _pairs(u: pa.Array, v: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([u, v, pa.nulls(len(u), pa.int64()), pa.nulls(len(u), pa.int32())], ["u", "v", "key", "part"])
 
 
 def _edges_of(columns: list[np.ndarray], bits: int, whole: bool = False) -> Iterator[pa.RecordBatch]:
@@ -292,22 +350,26 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     # A forest's edges may turn out not to be similar and leave texts apart that other pairs connect, so all pairs of groups still apart come last
     groups = None
     for words, whole in ((range(1), False), (range(1, BLOCKED), False), (range(BLOCKED), True)):
-        known = distinct.select("rep", *names[:BLOCKED], F.col("rep").alias("group"))
+        known = distinct.select("rep", *names, F.col("rep").alias("group"))
         if groups is not None:
-            known = materialise(known.drop("group").join(groups, known.rep == groups.node, "left").select("rep", *names[:BLOCKED], F.coalesce("root", "rep").alias("group")).coalesce(files), "known")
+            known = materialise(known.drop("group").join(groups, known.rep == groups.node, "left").select("rep", *names, F.coalesce("root", "rep").alias("group")).coalesce(files), "known")
         # written once for all words: a plan with an expression for each word and key takes much of the driver's memory
         keys = F.flatten(F.transform(F.array(*(f"w{i}" for i in words)), lambda w, i: F.array(*(k.bitwiseOR(F.shiftleft(i.cast("long"), 48)) for k in block_keys(6, 4, w)))))
-        found = links(_spread(known, n, "rep"), keys, tuple(names[:CHECKED]), CHECKED_BITS, files, whole).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-        groups = _connected(docs, distinct, found, groups, files)
+        dealt = _spread(known, n, "rep")
+        found, measured = all_links(dealt, keys, files) if whole else (links(dealt, keys, tuple(names[:CHECKED]), CHECKED_BITS, files), None)
+        found = found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        groups = _connected(docs, distinct, found, groups, files, measured)
     classes = distinct.join(groups, distinct.rep == groups.node, "left").select(*names, F.coalesce("root", "rep").alias("group"))
     return prints.join(classes, names).select("doc_id", "hash", "group")
 
 
-def _connected(docs: DataFrame, distinct: DataFrame, found: DataFrame, groups: DataFrame | None, files: int) -> DataFrame:
-    """(node, root) of ``groups`` and those of the candidate pairs ``found`` that are similar."""
+def _connected(docs: DataFrame, distinct: DataFrame, found: DataFrame, groups: DataFrame | None, files: int, measured: DataFrame | None = None) -> DataFrame:
+    """(node, root) of ``groups`` and those of the candidate pairs ``found`` and of ``measured`` (u, v, far) that are similar."""
     left, right = (distinct.select(F.col("rep").alias(end), F.array(*(f"w{i}" for i in range(WIDE))).alias(f"{end}_bits")) for end in "uv")
     far = F.expr("aggregate(zip_with(u_bits, v_bits, (a, b) -> bit_count(a ^ b)), 0, (s, x) -> s + x)")
     close = found.join(left, "u").join(right, "v").select("u", "v", far.alias("far")).filter(F.col("far") <= WIDE_BITS)
+    if measured is not None:
+        close = close.union(measured).distinct()
     close = materialise(close.coalesce(files), "close")
     sure = close.filter(F.col("far") <= SURE_BITS).select("u", "v")
     if groups is not None:

@@ -717,3 +717,19 @@ def test_small_graphs_are_joined_by_one_task(spark, monkeypatch):
     monkeypatch.setattr(components, "ONE_TASK", 0)
     assert {x.node: x.root for x in components.components(rows).collect()} == one and len(names) > 4
     rows.unpersist()
+
+
+def test_a_crowded_bucket_gives_members_and_loses_no_pair(spark):
+    """Many texts that are apart but near: pairs by a part of the fingerprints don't become rows, and none that is close by all words is lost."""
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 2, 1024)
+    prints = np.array([np.packbits(base ^ (rng.random(1024) < 0.1), bitorder="little").view("<u8") for _ in range(120)]).T
+    columns = [np.arange(120), np.full(120, 7), np.zeros(120, np.int64), np.arange(120), *prints[: simhash.CHECKED].view(np.int64)]
+    far = lambda a, b, n: int(np.bitwise_count(prints[:n, a] ^ prints[:n, b]).sum())
+    want = {(a, b): far(a, b, 16) for a in range(120) for b in range(a + 1, 120) if far(a, b, simhash.CHECKED) <= simhash.CHECKED_BITS and far(a, b, 16) <= simhash.WIDE_BITS}
+    rows = [x for batch in simhash._pairs_or_members(columns, simhash.CHECKED_BITS) for x in batch.to_pylist()]
+    assert len(want) > 120 >= len(rows) and all(x["v"] is None and x["key"] == 7 for x in rows)
+    frame = spark.createDataFrame([(i, i, *(int(x) for x in prints[:, i].view(np.int64))) for i in range(120)], "rep long, group long, " + ", ".join(f"w{i} long" for i in range(16)))
+    found, measured = simhash.all_links(frame, F.array(F.lit(7).cast("long")), 1)
+    got = {(x.u, x.v): x.far for x in measured.collect()}
+    assert found.count() == 0 and want.items() <= got.items() and all(far(*k, 16) == v <= simhash.WIDE_BITS for k, v in got.items())
