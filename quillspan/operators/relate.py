@@ -19,7 +19,7 @@ NOTES = {
 }
 
 
-def pairs(candidates: DataFrame, tokens: str, least: float) -> DataFrame:
+def pairs(candidates: DataFrame, tokens: str, least: float, write: Callable[[DataFrame, str], DataFrame] = materialise) -> DataFrame:
     """Pairs with Jaccard similarity of at least ``least`` (> 0), left before right by ``pos``; pairs without a common token never meet.
 
     Pairs meet and are counted by number alone, and only where the sizes of their sets allow the similarity; other columns join what remains.
@@ -29,14 +29,14 @@ def pairs(candidates: DataFrame, tokens: str, least: float) -> DataFrame:
     met = left.join(right, ["document_id", "token"]).filter(f"pos_l < pos_r and least(n_l, n_r) >= {least} * greatest(n_l, n_r) - 1e-9")
     counted = met.groupBy("document_id", "pos_l", "pos_r", "n_l", "n_r").agg(F.count("*").alias("common"))
     near = counted.withColumn("overlap", F.expr("common / (n_l + n_r - common)")).filter(F.col("overlap") >= least)
-    near = materialise(near, "near")  # few rows: written before other columns join, so that these are not shuffled beside the tokens
+    near = write(near, "near")  # few rows: written before other columns join, so that these are not shuffled beside the tokens
     left, right = (candidates.select("document_id", *(F.col(c).alias(f"{c}_{s}") for c in ("pos", "id", "claim_kind", "negated", "fingerprint"))) for s in "lr")
     return near.join(left, ["document_id", "pos_l"]).join(right, ["document_id", "pos_r"])
 
 
-def lexical_relations(candidates: DataFrame) -> DataFrame:
+def lexical_relations(candidates: DataFrame, write: Callable[[DataFrame, str], DataFrame] = materialise) -> DataFrame:
     """contradicts, generalizes and supports, from shared vocabulary."""
-    found = pairs(candidates, "relation_tokens", R.RELATED)
+    found = pairs(candidates, "relation_tokens", R.RELATED, write)
     kind = F.expr(f"""case when negated_l <> negated_r and overlap >= {R.OPPOSED} then 'contradicts' when (claim_kind_l = 'universal') <> (claim_kind_r = 'universal') then 'generalizes'
         when claim_kind_l = 'conditional' or claim_kind_r = 'conditional' then 'supports' end""")
     found = found.withColumn("kind", kind).filter("kind is not null").withColumn("turned", F.expr("kind = 'generalizes' and claim_kind_r = 'universal'"))
@@ -48,17 +48,18 @@ def lexical_relations(candidates: DataFrame) -> DataFrame:
     )
 
 
-def variant_relations(candidates: DataFrame) -> DataFrame:
+def variant_relations(candidates: DataFrame, write: Callable[[DataFrame, str], DataFrame] = materialise) -> DataFrame:
     """variant_of: same polarity, compatible kinds, different fingerprints, very similar words."""
-    found = pairs(candidates, "content_tokens", R.VARIANT)
+    found = pairs(candidates, "content_tokens", R.VARIANT, write)
     found = found.filter("id_l <> id_r and negated_l = negated_r and fingerprint_l <> fingerprint_r and (claim_kind_l = claim_kind_r or claim_kind_l = 'atomic' or claim_kind_r = 'atomic')")
     metadata = F.concat(F.lit('{"generatedBy":"candidate-quality-ranker","reviewRequired":true,"similarityKind":"lexical","similarityScore":'), F.col("overlap").cast("string"), F.lit("}"))
     return found.select("document_id", F.col("id_l").alias("from_id"), F.col("id_r").alias("to_id"), F.lit("variant_of").alias("kind"), F.col("overlap").alias("confidence"), F.lit(NOTES["variant_of"]).alias("note"), metadata.alias("metadata"))
 
 
-def relations(candidates: DataFrame, rerank: bool = False, share: Callable[[DataFrame, str], DataFrame] = lambda df, name: df) -> DataFrame:
-    """Both kinds of relations; ``share`` may write each before the next is looked for, so that their shuffles don't add up."""
-    found = share(lexical_relations(candidates), "vocabulary").unionByName(share(variant_relations(candidates), "variants"))
+def relations(candidates: DataFrame, rerank: bool = False, share: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+    """Both kinds of relations; ``share`` may write each before the next is looked for, so that their shuffles don't add up, and writes near pairs."""
+    write, keep = share or materialise, share or (lambda df, name: df)
+    found = keep(lexical_relations(candidates, write), "vocabulary").unionByName(keep(variant_relations(candidates, write), "variants"))
     return reranked(candidates, found) if rerank else found
 
 

@@ -120,7 +120,7 @@ class Extraction:
     @cached_property
     def lexical(self) -> DataFrame:
         """Relations of the first pass."""
-        return self._share(relate.relations(self.propositions, self.config.rerank, self._share), "lexical")
+        return self._share(relate.relations(self.propositions, self.config.rerank, self._share if self.keep else None), "lexical")
 
     @cached_property
     def first_pass(self) -> DataFrame:
@@ -134,7 +134,7 @@ class Extraction:
     def relations(self) -> DataFrame:
         if not self.config.include_relations:
             return self._none()
-        found = relate.relations(self.first_pass, self.config.rerank, self._share)
+        found = relate.relations(self.first_pass, self.config.rerank, self._share if self.keep else None)
         return self._share(found.unionByName(relate.argument_relations(self.arguments)), "relations")
 
     @cached_property
