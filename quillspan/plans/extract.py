@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
-from ..operators import arguments, claims, dedup, embed, formal, rank, relate, segment, spans, terms, worldview
+from ..operators import arguments, claims, dedup, embed, formal, rank, relate, segment, spans, terms, whole, worldview
 from ..session import discard, write_and_read
 from ..sources.config import Config
 
@@ -43,6 +43,10 @@ class Extraction:
         self._leave("passages", "relations", "index")
         return self.worldviews()
 
+    def whole(self) -> DataFrame:
+        """``worldviews()`` in one pass over the documents, for those who need nothing else: no table is written, and rows with the same document_id stay apart."""
+        return whole.worldviews(self.documents, self.config)
+
     def _leave(self, *names: str) -> None:
         """Remove all written tables but these; what was made from others is made anew if asked for."""
         for name, path in self._written:

@@ -240,7 +240,7 @@ def ner_terms(spark, sf_dir):
 
 
 def worldview_json(spark, sf_dir):
-    return Extraction(documents.from_table(table(spark, sf_dir, "documents"))).export().select("document_id", "worldview_id", F.octet_length("worldview").alias("n_bytes"), "worldview")
+    return Extraction(documents.from_table(table(spark, sf_dir, "documents"))).whole().select("document_id", "worldview_id", F.octet_length("worldview").alias("n_bytes"), "worldview")
 
 
 NAMES = [
